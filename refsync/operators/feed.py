@@ -221,7 +221,7 @@ def enrich(
     three joins, which all start with the item. The details keep their vendor code column.
     """
     heavy = hot_keys(rows.select(F.col(f"`{candidate}`")), [candidate], rows_per_slice)
-    spread = {"hot_left": heavy, "hot_on": [candidate], "rows_per_slice": rows_per_slice}
+    spread = {"hot_left": heavy, "rows_per_slice": rows_per_slice}
 
     described = skewed_join(
         rows, lookups.descriptions, [candidate], "left", right_keys=[lookups.item], **spread

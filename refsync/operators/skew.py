@@ -2,14 +2,15 @@
 
 AQE splits skewed join partitions only when both join inputs are plain shuffles; as soon as one side is an
 aggregate on the join key (here: nearly always, because lookups are reduced to one row per key first) it does
-not. So the heavy keys are found by a pre-aggregated count of the key columns and only their rows are spread
-over several slices, with the matching rows of the other side repeated once per slice. Every other key takes
-the ordinary equi join. The result is the same as that of the plain join.
+not. So the join first looks for heavy keys with a pre-aggregated count of the key columns. If there are none, it
+is an ordinary equi join. If there are, only their rows are spread over several slices, with the matching rows of
+the other side repeated once per slice. The result is the same as that of the plain join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,19 +18,25 @@ from pyspark.sql import functions as F
 # A key with more rows than this is spread over ceil(rows / ROWS_PER_SLICE) slices.
 ROWS_PER_SLICE = 1_000_000
 
-# At most this many keys are spread: the list is broadcast, so its size must not grow with the data. A key that
-# is not among the heaviest MAX_HOT_KEYS holds less than 1/MAX_HOT_KEYS of the rows and is joined like any other.
+# At most this many keys are spread: the list goes through the driver and is broadcast, so its size must not grow
+# with the data. A key that is not among the heaviest MAX_HOT_KEYS holds less than 1/MAX_HOT_KEYS of the rows and
+# is joined like any other.
 MAX_HOT_KEYS = 1_000
 
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Heavy keys: the columns they are values of, and a small table of keys and slice counts (None: no heavy key)."""
+
+    on: tuple[str, ...]
+    table: DataFrame | None
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """Heaviest keys with their number of slices: the key columns and `slices`, at most `max_keys` rows.
-
-    Reads only the key columns and combines before the shuffle. The order is total (count, then key), so
-    computing it twice gives the same list.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+) -> HotKeys:
+    """Find the heavy keys of a DataFrame. Runs a job that reads only the key columns and combines map-side."""
+    counts = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("__rows"))
     return heaviest(counts, keys, "__rows", rows_per_slice, max_keys)
 
 
@@ -39,21 +46,25 @@ def heaviest(
     rows: str,
     rows_per_slice: int = ROWS_PER_SLICE,
     max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
+) -> HotKeys:
     """`hot_keys` for keys that are already counted."""
-    return (
+    slices = F.ceil(F.col(rows) / F.lit(rows_per_slice)).cast("int").alias("slices")
+    top = (
         counts.filter(F.col(rows) > rows_per_slice)
-        .orderBy(F.col(rows).desc(), *[F.col(k) for k in keys])
+        .orderBy(F.col(rows).desc())
         .limit(max_keys)
-        .select(*keys, F.ceil(F.col(rows) / F.lit(rows_per_slice)).cast("int").alias("slices"))
+        .select(*[F.col(f"`{k}`") for k in keys], slices)
     )
+    found = top.collect()
+    return HotKeys(tuple(keys), counts.sparkSession.createDataFrame(found, top.schema) if found else None)
 
 
 def _equal(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
-    condition = F.lit(True)
+    condition = None
     for a, b in zip(left, right):
-        pair = F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`")) if null_safe else F.col(f"`{a}`") == F.col(f"`{b}`")
-        condition = condition & pair
+        x, y = F.col(f"`{a}`"), F.col(f"`{b}`")
+        pair = x.eqNullSafe(y) if null_safe else x == y
+        condition = pair if condition is None else condition & pair
     return condition
 
 
@@ -71,11 +82,12 @@ def _every_slice(slices: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), slices - 1))
 
 
-def _mark(df: DataFrame, keys: Sequence[str], hot: DataFrame, hot_on: Sequence[str], name: str) -> DataFrame:
-    """Add the slice count of the row's key (1 for most keys)."""
-    names = [f"__hot_key{i}" for i in range(len(hot_on))]
-    # hot_keys returns at most MAX_HOT_KEYS rows, so this broadcast has a fixed bound.
-    small = F.broadcast(hot.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(hot_on, names)], F.col("slices").alias(name)))
+def _mark(df: DataFrame, keys: Sequence[str], hot: HotKeys, name: str) -> DataFrame:
+    """Add the slice count of the row's key (1 for most keys); `keys` are the columns that play `hot.on`."""
+    if hot.table is None:
+        return df.withColumn(name, F.lit(1))
+    names = [f"__hot_key{i}" for i in range(len(keys))]
+    small = F.broadcast(hot.table.toDF(*names, name))  # at most MAX_HOT_KEYS rows
     marked = df.join(small, _equal(keys, names, null_safe=True), "left").drop(*names)
     return marked.withColumn(name, F.coalesce(F.col(name), F.lit(1)))
 
@@ -89,16 +101,15 @@ def skewed_join(
     left_unique: bool = False,
     right_unique: bool = False,
     null_safe: bool = False,
-    hot_left: DataFrame | None = None,
-    hot_on: Sequence[str] | None = None,
+    hot_left: HotKeys | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
     max_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Equi join on `keys`; returns the left columns and the non-key right columns.
 
     how: 'inner', 'left', 'left_semi' or 'left_anti'. `left_unique` / `right_unique` say that a side has one row
-    per key, which saves the count of that side. `hot_left` gives the heavy left keys (from `hot_keys`) when the
-    caller has them already; they may be keyed on some of the join keys only (`hot_on`).
+    per key, which saves the count of that side. `hot_left` gives the heavy left keys when the caller has looked
+    for them already; they may be keyed on some of the join keys only.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -115,6 +126,7 @@ def skewed_join(
     if clash:
         raise ValueError(f"columns on both sides of the join: {sorted(clash)}")
 
+    left_columns = left.columns
     names = [f"__right_key{i}" for i in range(len(keys))]
     right = right.select(
         *[F.col(f"`{k}`").alias(n) for k, n in zip(right_keys, names)], *[F.col(f"`{c}`") for c in payload]
@@ -122,30 +134,27 @@ def skewed_join(
     if not null_safe:
         # A null never matches; removed here so that a pile of nulls is not taken for a heavy key.
         right = right.dropna(subset=names)
-    if left_unique and right_unique:
-        return left.join(right, _equal(keys, names, null_safe), how).drop(*names)
 
-    left_columns = left.columns
-    left_n, right_n = F.col("__left_n"), F.col("__right_n")
+    no_left, no_right = HotKeys(tuple(keys), None), HotKeys(tuple(names), None)
     if left_unique:
-        left, right = left.withColumn("__left_n", F.lit(1)), right.withColumn("__left_n", F.lit(1))
-    else:
-        on = list(hot_on or keys)
-        hot = hot_left if hot_left is not None else hot_keys(left, on, rows_per_slice, max_keys)
-        right_on = [names[keys.index(k)] for k in on]
-        left = _mark(left, on, hot, on, "__left_n")
-        right = _mark(right, right_on, hot, on, "__left_n")
-    if right_unique:
-        left, right = left.withColumn("__right_n", F.lit(1)), right.withColumn("__right_n", F.lit(1))
-    else:
-        hot = hot_keys(right, names, rows_per_slice, max_keys)
-        left = _mark(left, keys, hot, names, "__right_n")
-        right = _mark(right, names, hot, names, "__right_n")
+        hot_left = no_left
+    elif hot_left is None:
+        hot_left = hot_keys(left, keys, rows_per_slice, max_keys)
+    hot_right = no_right if right_unique else hot_keys(right, names, rows_per_slice, max_keys)
+    if hot_left.table is None and hot_right.table is None:
+        joined = left.join(right, _equal(keys, names, null_safe), how)
+        return joined if existence else joined.drop(*names)
+
+    left = _mark(left, hot_left.on, hot_left, "__left_n")
+    left = _mark(left, keys, hot_right, "__right_n")
+    right = _mark(right, [names[keys.index(k)] for k in hot_left.on], hot_left, "__left_n")
+    right = _mark(right, names, hot_right, "__right_n")
+    left_n, right_n = F.col("__left_n"), F.col("__right_n")
 
     left = left.withColumn("__left_slice", _slice_number(left_columns, left_n))
-    left = left.withColumn("__right_slice", F.lit(0) if right_unique else _every_slice(right_n))
+    left = left.withColumn("__right_slice", _every_slice(right_n))
     right = right.withColumn("__slice1", _slice_number([*names, *payload], right_n))
-    right = right.withColumn("__slice0", F.lit(0) if left_unique else _every_slice(left_n))
+    right = right.withColumn("__slice0", _every_slice(left_n))
     marker = [] if existence else [F.lit(True).alias("__matched")]
     right = right.select(*names, *[F.col(f"`{c}`") for c in payload], "__slice0", "__slice1", *marker)
 
@@ -155,7 +164,7 @@ def skewed_join(
         & (F.col("__right_slice") == F.col("__slice1"))
     )
     joined = left.join(right, condition, how)
-    if how == "left" and not right_unique:
+    if how == "left" and hot_right.table is not None:
         # A left row meets every slice of a heavy right key; slices without a row for it pad with nulls. Such a
         # key has rows on the right by definition, so all padded rows are surplus.
         joined = joined.filter((right_n == 1) | F.col("__matched").isNotNull())

@@ -91,7 +91,7 @@ def sync_increment(
     spec: TableSpec = TableSpec(),
     file_names: list[str] | None = None,
     permitted: DataFrame | None = None,
-    batch_id: int | None = None,
+    batch_id: str | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> SyncResult:
     """Apply cleaned increment rows (all text, with lineage columns) to the current snapshot.
@@ -121,7 +121,8 @@ def sync_increment(
     written = snapshots.read_snapshot(spark, table_root, snapshot)
 
     issues = storage.stage(_issues(written, spec, permitted), "issues")
-    run_id = f"batch-{batch_id}" if batch_id is not None else f"{snapshot:06d}-{uuid.uuid4().hex[:8]}"
+    # A replayed batch gets the same run id, so its audit tables are written over, not added twice.
+    run_id = uuid.uuid5(uuid.NAMESPACE_URL, batch_id).hex if batch_id else f"{snapshot:06d}-{uuid.uuid4().hex[:8]}"
     has_source = spec.source_file if spec.source_file in typed.columns else None
     tables = {
         "rows_by_date": audit.rows_by_date(accepted, version, has_source),
