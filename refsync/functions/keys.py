@@ -16,6 +16,10 @@ from refsync.functions.text import trimmed
 KEY_PREFIX = "__key"
 
 
+class CleanKeys(tuple):
+    """Key columns of rows that went through `clean_strings`: their text is not trimmed again."""
+
+
 def key_names(keys: Sequence[str]) -> list[str]:
     """Names of the helper columns that hold the normalised key parts."""
     return [f"{KEY_PREFIX}{i}" for i in range(len(keys))]
@@ -28,9 +32,14 @@ def key_columns(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     would only widen the shuffle); the joins compare them null-safely, which gives the same equality.
     """
     types = dict(df.dtypes)
-    return [
-        F.coalesce(trimmed(F.col(f"`{k}`")), F.lit("")) if types[k] == "string" else F.col(f"`{k}`") for k in keys
-    ]
+
+    def part(k: str) -> Column:
+        column = F.col(f"`{k}`")
+        if types[k] != "string":
+            return column
+        return F.coalesce(column if isinstance(keys, CleanKeys) else trimmed(column), F.lit(""))
+
+    return [part(k) for k in keys]
 
 
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

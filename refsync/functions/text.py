@@ -20,8 +20,12 @@ WHITESPACE_RANGES = (
 )
 WHITESPACE = "".join(chr(p) for first, last in WHITESPACE_RANGES for p in range(first, last + 1))
 
-# The accepted date layouts, first match wins.
-DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "yyyy-MMM-d")
+# The accepted date layouts and the shape of text each one fits; first match wins.
+DATE_FORMATS = (
+    ("yyyy-M-d", r"^\d+-\d+-\d+$"),
+    ("M/d/yyyy", r"^\d+/\d+/\d+$"),
+    ("yyyy-MMM-d", r"^\d+-\p{L}+-\d+$"),
+)
 
 
 def trimmed(c: Column) -> Column:
@@ -39,9 +43,12 @@ def is_blank(c: Column) -> Column:
     return c.isNull() | (trimmed(c.cast("string")) == "")
 
 
-def parse_date(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """Text to date: the first format that fits, else null."""
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+def parse_date(c: Column, formats: tuple[tuple[str, str], ...] = DATE_FORMATS) -> Column:
+    """Text to date: the first format that fits, else null.
+
+    The shape is tested first: a parser that fails raises and catches an exception for every row.
+    """
+    return F.coalesce(*[F.when(c.rlike(shape), F.try_to_date(c, f)) for f, shape in formats])
 
 
 def parse_number(c: Column, data_type: str = "float", strip_commas: bool = False) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refsync.functions.keys import distinct_keys, key_names, with_keys
+from refsync.functions.keys import CleanKeys, distinct_keys, key_names, with_keys
 from refsync.operators import sync
 from refsync.operators.skew import ROWS_PER_SLICE, skewed_join
 
@@ -20,6 +20,7 @@ def touched_rows(
     increments: DataFrame,
     keys: Sequence[str],
     broadcast_keys: bool = False,
+    clean_increments: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Table rows whose key is in the increments.
@@ -27,7 +28,7 @@ def touched_rows(
     `broadcast_keys` when the caller has counted the increments and found at most BROADCAST_KEYS rows: then the
     table is scanned without a shuffle. Otherwise both sides are shuffled.
     """
-    return _existence(current, increments, keys, "left_semi", broadcast_keys, rows_per_slice)
+    return _existence(current, increments, keys, "left_semi", broadcast_keys, clean_increments, rows_per_slice)
 
 
 def untouched_rows(
@@ -35,15 +36,16 @@ def untouched_rows(
     increments: DataFrame,
     keys: Sequence[str],
     broadcast_keys: bool = False,
+    clean_increments: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """The complement of `touched_rows`: the part of the table an upsert keeps."""
-    return _existence(current, increments, keys, "left_anti", broadcast_keys, rows_per_slice)
+    return _existence(current, increments, keys, "left_anti", broadcast_keys, clean_increments, rows_per_slice)
 
 
-def _existence(current, increments, keys, how, broadcast_keys, rows_per_slice) -> DataFrame:
+def _existence(current, increments, keys, how, broadcast_keys, clean_increments, rows_per_slice) -> DataFrame:
     names = key_names(keys)
-    left, right = with_keys(current, keys), distinct_keys(increments, keys)
+    left, right = with_keys(current, keys), distinct_keys(increments, CleanKeys(keys) if clean_increments else keys)
     if broadcast_keys:
         right = F.broadcast(right.toDF(*[f"{n}_r" for n in names]))
         condition = F.lit(True)
@@ -68,6 +70,7 @@ def tag_increments(
     keys: Sequence[str],
     version: str,
     excluded: Column | None = None,
+    clean_increments: bool = False,
     tie_breakers: Sequence[str] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
@@ -76,6 +79,7 @@ def tag_increments(
     status: 'excluded' (by `excluded`), 'stale', 'new', 'updated' or 'unchanged'. The newest version of a key and
     its latest row come from the same row, so one join serves the gate, the split into new and matched rows and
     the change log. `touched` is the table, or the part of it that shares keys with the increments.
+    `clean_increments` says that the increments went through `clean_strings`.
     """
     columns = sync.compare_columns(increments, keys, version)
     types = dict(increments.dtypes)
@@ -85,7 +89,7 @@ def tag_increments(
     ]
     previous = with_keys(latest, keys).select(*key_names(keys), F.struct(*values).alias("__previous"))
     paired = skewed_join(
-        with_keys(increments, keys),
+        with_keys(increments, CleanKeys(keys) if clean_increments else keys),
         previous,
         key_names(keys),
         "left",

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refsync.config import FeedSpec, SyncSettings, TableSpec
+from refsync.functions.keys import CleanKeys
 from refsync.operators import audit, checks, classify as classifying, clean, feed, sync as syncing, tagging
 from refsync.operators.skew import ROWS_PER_SLICE
 from refsync.sources import audit_store, files, outputs, snapshots, storage
@@ -94,7 +95,7 @@ def sync_increment(
     batch_id: str | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> SyncResult:
-    """Apply cleaned increment rows (all text, with lineage columns) to the current snapshot.
+    """Apply cleaned increment rows (text, through `clean_strings`, with lineage columns) to the current snapshot.
 
     The typed increments are staged once, the tagged ones once; the table itself is read twice (rows that share
     a key, rows that do not) and written once. The manifest changes last: whatever fails before leaves the old
@@ -108,19 +109,19 @@ def sync_increment(
 
     typed = storage.stage(clean.enforce_schema(increments, spec.types), "increments")
     few = typed.count() <= tagging.BROADCAST_KEYS
-    touched = tagging.touched_rows(current, typed, keys, few, rows_per_slice)
+    touched = tagging.touched_rows(current, typed, keys, few, True, rows_per_slice)
     tagged = storage.stage(
-        tagging.tag_increments(touched, typed, keys, version, _excluded(typed, spec), rows_per_slice=rows_per_slice),
+        tagging.tag_increments(touched, typed, keys, version, _excluded(typed, spec), True, rows_per_slice=rows_per_slice),
         "tagged",
     )
     accepted = tagging.accepted_rows(tagged)
-    winners = storage.stage(syncing.latest_wins(accepted, keys, version).drop(*syncing.LINEAGE), "winners")
-    kept = tagging.untouched_rows(current, winners, keys, few, rows_per_slice)
+    clean_keys = CleanKeys(keys)
+    winners = storage.stage(syncing.latest_wins(accepted, clean_keys, version).drop(*syncing.LINEAGE), "winners")
+    kept = tagging.untouched_rows(current, winners, keys, few, True, rows_per_slice)
     updated = _exclude(kept.unionByName(winners, allowMissingColumns=True), spec)
     snapshot = snapshots.write_data(updated, table_root)
     written = snapshots.read_snapshot(spark, table_root, snapshot)
 
-    issues = storage.stage(_issues(written, spec, permitted), "issues")
     # A replayed batch gets the same run id, so its audit tables are written over, not added twice.
     run_id = uuid.uuid5(uuid.NAMESPACE_URL, batch_id).hex if batch_id else f"{snapshot:06d}-{uuid.uuid4().hex[:8]}"
     has_source = spec.source_file if spec.source_file in typed.columns else None
@@ -128,11 +129,11 @@ def sync_increment(
         "rows_by_date": audit.rows_by_date(accepted, version, has_source),
         "new_rows": tagged.filter(F.col("status") == "new").drop("__previous", "status", *syncing.LINEAGE),
         "field_changes": tagging.tagged_changes(tagged, keys, version),
-        "duplicate_keys": syncing.duplicate_keys(accepted, keys, version, spec.price, has_source),
-        "duplicate_history": syncing.duplicate_history(accepted, keys, version, spec.price),
-        "duplicate_versions": syncing.duplicate_versions(accepted, keys, rows_per_slice),
-        "table_duplicate_keys": checks.table_duplicate_keys(touched, winners, keys),
-        "issues": issues,
+        "duplicate_keys": syncing.duplicate_keys(accepted, clean_keys, version, spec.price, has_source),
+        "duplicate_history": syncing.duplicate_history(accepted, clean_keys, version, spec.price),
+        "duplicate_versions": syncing.duplicate_versions(accepted, clean_keys, rows_per_slice),
+        "table_duplicate_keys": checks.table_duplicate_keys(current, winners, keys),
+        "issues": _issues(written, spec, permitted),
     }
     if has_source:
         tables["per_file_summary"] = audit.per_file_summary(tagged, spec.source_file, version)
@@ -141,7 +142,7 @@ def sync_increment(
     snapshots.commit(spark, table_root, snapshot, batch_id, run_id)
 
     counts = {r["status"]: r["count"] for r in tagged.groupBy("status").count().collect()}
-    found = checks.check_counts(issues).first().asDict()
+    found = checks.check_counts(spark.read.parquet(paths["issues"])).first().asDict()
     seconds = time.monotonic() - started
     audit_store.record_run(
         spark,
@@ -179,10 +180,9 @@ def full_refresh(
     snapshot = snapshots.write_data(table.drop(*syncing.LINEAGE), table_root)
     written = snapshots.read_snapshot(spark, table_root, snapshot)
     run_id = f"{snapshot:06d}-{uuid.uuid4().hex[:8]}"
-    issues = storage.stage(_issues(written, spec, permitted), "issues")
-    paths = audit_store.write_audit({"issues": issues}, audit_root, run_id)
+    paths = audit_store.write_audit({"issues": _issues(written, spec, permitted)}, audit_root, run_id)
     snapshots.commit(spark, table_root, snapshot, None, run_id)
-    found = checks.check_counts(issues).first().asDict()
+    found = checks.check_counts(spark.read.parquet(paths["issues"])).first().asDict()
     seconds = time.monotonic() - started
     audit_store.record_run(
         spark,

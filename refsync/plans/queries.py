@@ -1096,8 +1096,8 @@ integrated AS (
               WHEN d_start <> v.eff AND d_end <> v.exp THEN 'Start & End Date not Match'
               WHEN d_start <> v.eff THEN 'Start Date not Match'
               WHEN d_end <> v.exp THEN 'End Date not Match' ELSE 'Exception' END AS status,
-         CASE WHEN divisor <> 0 THEN round(greatest(price / divisor, price / divisor * q1, price / divisor * q2, 0.0), 0) END
-           AS highest,
+         CASE WHEN divisor <> 0 THEN round(greatest(d.price / divisor, d.price / divisor * q1, d.price / divisor * q2, 0.0), 0)
+           END AS highest,
          'N' || c_nationkey AS manufacturer,
          CASE WHEN o_orderpriority <> '5-LOW' THEN upper(o_orderpriority) END AS vendor_code
   FROM daily d LEFT JOIN collapsed c USING (source, idx)
