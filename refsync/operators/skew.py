@@ -84,8 +84,6 @@ def _every_slice(slices: Column) -> Column:
 
 def _mark(df: DataFrame, keys: Sequence[str], hot: HotKeys, name: str) -> DataFrame:
     """Add the slice count of the row's key (1 for most keys); `keys` are the columns that play `hot.on`."""
-    if hot.table is None:
-        return df.withColumn(name, F.lit(1))
     names = [f"__hot_key{i}" for i in range(len(keys))]
     small = F.broadcast(hot.table.toDF(*names, name))  # at most MAX_HOT_KEYS rows
     marked = df.join(small, _equal(keys, names, null_safe=True), "left").drop(*names)
@@ -145,28 +143,24 @@ def skewed_join(
         joined = left.join(right, _equal(keys, names, null_safe), how)
         return joined if existence else joined.drop(*names)
 
-    left = _mark(left, hot_left.on, hot_left, "__left_n")
-    left = _mark(left, keys, hot_right, "__right_n")
-    right = _mark(right, [names[keys.index(k)] for k in hot_left.on], hot_left, "__left_n")
-    right = _mark(right, names, hot_right, "__right_n")
-    left_n, right_n = F.col("__left_n"), F.col("__right_n")
-
-    left = left.withColumn("__left_slice", _slice_number(left_columns, left_n))
-    left = left.withColumn("__right_slice", _every_slice(right_n))
-    right = right.withColumn("__slice1", _slice_number([*names, *payload], right_n))
-    right = right.withColumn("__slice0", _every_slice(left_n))
-    marker = [] if existence else [F.lit(True).alias("__matched")]
-    right = right.select(*names, *[F.col(f"`{c}`") for c in payload], "__slice0", "__slice1", *marker)
-
-    condition = (
-        _equal(keys, names, null_safe)
-        & (F.col("__left_slice") == F.col("__slice0"))
-        & (F.col("__right_slice") == F.col("__slice1"))
-    )
+    # One slice column per side that has heavy keys: its own rows are numbered, the other side's repeated.
+    condition = _equal(keys, names, null_safe)
+    if hot_left.table is not None:
+        left = _mark(left, hot_left.on, hot_left, "__left_n")
+        right = _mark(right, [names[keys.index(k)] for k in hot_left.on], hot_left, "__left_m")
+        left = left.withColumn("__left_slice", _slice_number(left_columns, F.col("__left_n")))
+        right = right.withColumn("__left_copy", _every_slice(F.col("__left_m")))
+        condition = condition & (F.col("__left_slice") == F.col("__left_copy"))
+    if hot_right.table is not None:
+        left = _mark(left, keys, hot_right, "__right_m")
+        right = _mark(right, names, hot_right, "__right_n")
+        right = right.withColumn("__right_slice", _slice_number([*names, *payload], F.col("__right_n")))
+        left = left.withColumn("__right_copy", _every_slice(F.col("__right_m")))
+        condition = condition & (F.col("__right_copy") == F.col("__right_slice"))
     joined = left.join(right, condition, how)
     if how == "left" and hot_right.table is not None:
         # A left row meets every slice of a heavy right key; slices without a row for it pad with nulls. Such a
         # key has rows on the right by definition, so all padded rows are surplus.
-        joined = joined.filter((right_n == 1) | F.col("__matched").isNotNull())
+        joined = joined.filter((F.col("__right_m") == 1) | F.col("__right_slice").isNotNull())
     kept = left_columns if existence else [*left_columns, *payload]
     return joined.select(*[F.col(f"`{c}`") for c in kept])

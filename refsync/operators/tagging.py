@@ -11,8 +11,15 @@ from refsync.functions.keys import CleanKeys, distinct_keys, key_names, with_key
 from refsync.operators import sync
 from refsync.operators.skew import ROWS_PER_SLICE, skewed_join
 
-# Increment keys are broadcast only up to this many rows (five short text parts: about 150 MB).
+# Increment keys are broadcast only up to this many rows (five short text parts: about 150 MB) and only when the
+# table is this many times larger; otherwise a shuffle of both sides is cheaper than building the broadcast.
 BROADCAST_KEYS = 1_000_000
+BROADCAST_SHARE = 20
+
+
+def few_keys(increment_rows: int, table_rows: int) -> bool:
+    """Is it worth to broadcast the increment keys instead of shuffling the table?"""
+    return increment_rows <= min(BROADCAST_KEYS, table_rows // BROADCAST_SHARE)
 
 
 def touched_rows(
@@ -25,8 +32,8 @@ def touched_rows(
 ) -> DataFrame:
     """Table rows whose key is in the increments.
 
-    `broadcast_keys` when the caller has counted the increments and found at most BROADCAST_KEYS rows: then the
-    table is scanned without a shuffle. Otherwise both sides are shuffled.
+    `broadcast_keys` when the caller has counted the rows and `few_keys` says so: then the table is scanned without
+    a shuffle. Otherwise both sides are shuffled.
     """
     return _existence(current, increments, keys, "left_semi", broadcast_keys, clean_increments, rows_per_slice)
 

@@ -108,7 +108,7 @@ def sync_increment(
     clean.require_columns(current, keys)
 
     typed = storage.stage(clean.enforce_schema(increments, spec.types), "increments")
-    few = typed.count() <= tagging.BROADCAST_KEYS
+    few = tagging.few_keys(typed.count(), current.count())  # both from Parquet footers
     touched = tagging.touched_rows(current, typed, keys, few, True, rows_per_slice)
     tagged = storage.stage(
         tagging.tag_increments(touched, typed, keys, version, _excluded(typed, spec), True, rows_per_slice=rows_per_slice),

@@ -1,0 +1,222 @@
+from datetime import date
+from itertools import permutations
+
+import pytest
+from pyspark.sql import functions as F
+
+from refsync.operators import audit, checks, sync, tagging
+
+TABLE = "item string, acct string, d date, v string"
+INCREMENT = TABLE + ", source_file string, row_index bigint"
+KEYS = ["item", "acct"]
+
+
+def table(spark, *rows):
+    return spark.createDataFrame(list(rows), TABLE)
+
+
+def increments(spark, *rows):
+    return spark.createDataFrame([(*r, "f1", i + 1) if len(r) == 4 else r for i, r in enumerate(rows)], INCREMENT)
+
+
+def items(df):
+    return sorted(r["item"] for r in df.collect())
+
+
+@pytest.mark.parametrize("slices", [1, 1_000_000])
+def test_gate(spark, slices):
+    current = table(
+        spark,
+        ("A", "1", date(2024, 1, 1), ""),
+        ("B", "1", date(2024, 1, 1), ""),
+        ("C", "1", None, ""),
+        ("D", "1", date(2024, 1, 1), ""),
+        ("E", "1", date(2024, 1, 1), ""),
+        ("E", "1", None, ""),
+    )
+    new = increments(
+        spark,
+        ("A", "1", date(2023, 1, 1), ""),
+        (" B ", "1", date(2024, 2, 1), ""),
+        ("C", "1", date(2024, 1, 1), ""),
+        ("D", "1", date(2024, 1, 1), ""),
+        ("E", "1", None, ""),
+        ("F", "1", None, ""),
+    )
+    assert items(sync.gate_stale(current, new, KEYS, "d", slices)) == [" B ", "C", "F"]
+    stale = sync.stale_rows(current, new, KEYS, "d", slices)
+    assert items(stale) == ["A", "D", "E"]
+    assert {r["current_version"] for r in stale.collect()} == {date(2024, 1, 1)}
+
+
+def test_null_and_empty_key_parts_are_equal(spark):
+    current = table(spark, ("A", None, date(2024, 1, 1), "old"))
+    new = increments(spark, ("A", "", date(2024, 2, 1), "new"), ("a", None, date(2024, 2, 1), "x"))
+    assert items(sync.matched_rows(current, new, KEYS)) == ["A"]
+    assert items(sync.new_rows(current, new, KEYS)) == ["a"]
+    split = sync.split_new_updated(current, new, KEYS)
+    assert sorted((r["item"], r["status"]) for r in split.collect()) == [("A", "updated"), ("a", "new")]
+
+
+def test_separator_in_key_parts(spark):
+    current = table(spark, ("a|b", "c", date(2024, 1, 1), "old"))
+    new = increments(spark, ("a", "b|c", date(2023, 1, 1), "other key"))
+    assert items(sync.gate_stale(current, new, KEYS, "d")) == ["a"]
+    assert sync.upsert(current, new.drop("source_file", "row_index"), KEYS).count() == 2
+
+
+def test_latest_wins_ties_and_nulls(spark):
+    rows = [
+        ("A", "1", date(2024, 1, 2), "x", "f1", 1),
+        ("A", "1", date(2024, 1, 2), "y", "f2", 1),
+        ("A", "1", date(2024, 1, 2), "z", "f2", 2),
+        ("A", "1", None, "n", "f9", 1),
+        ("B", None, None, "only", "f1", 2),
+    ]
+    for order in permutations(rows, len(rows)):
+        if order[0][3] not in ("x", "n"):
+            continue
+        got = sync.latest_wins(spark.createDataFrame(list(order), INCREMENT).coalesce(1), KEYS, "d")
+        assert sorted(r["v"] for r in got.collect()) == ["only", "z"]
+        break
+
+
+def test_upsert_replaces_all_rows_of_a_key_and_unites_columns(spark):
+    current = table(spark, ("A", "1", date(2024, 1, 1), "old"), ("A", "1", date(2024, 1, 2), "old"), ("B", "1", None, "stays"))
+    new = spark.createDataFrame([("A", "1", date(2024, 3, 1), "extra")], "item string, acct string, d date, w string")
+    got = sync.upsert(current, new, KEYS)
+    assert got.columns == ["item", "acct", "d", "v", "w"]
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("A", "1", date(2024, 3, 1), None, "extra"),
+        ("B", "1", None, "stays", None),
+    ]
+    again = sync.upsert(got, new, KEYS)
+    assert sorted(map(str, again.collect())) == sorted(map(str, got.collect()))
+
+
+def test_field_changes(spark):
+    schema = "item string, acct string, d date, Description string, Price double"
+    current = spark.createDataFrame(
+        [
+            ("1", "a", date(2024, 1, 1), "Old", 10.0),
+            ("2", "a", date(2024, 1, 1), None, None),
+            ("3", "a", date(2024, 1, 1), "Space", 5.0),
+            ("4", "a", date(2024, 1, 1), "123", 100.0),
+            ("5", "a", date(2023, 1, 1), "first", 1.0),
+            ("5", "a", date(2024, 1, 1), "last", 1.0),
+        ],
+        schema,
+    )
+    new = spark.createDataFrame(
+        [
+            ("1", "a", date(2024, 2, 1), "New", 10.0),
+            ("2", "a", date(2024, 2, 1), "", None),
+            ("3", "a", date(2024, 2, 1), " Space ", 5.0),
+            ("4", "a", date(2024, 2, 1), "123", 100.0),
+            ("5", "a", date(2024, 2, 1), "last", 2.5),
+            ("6", "a", date(2024, 2, 1), "new row", 1.0),
+        ],
+        schema,
+    ).withColumn("Added", F.when(F.col("item") == "4", "x"))
+    got = sync.field_changes(current, new, KEYS, "d")
+    assert sorted((r["item"], r["Column"], r["Previous Value"], r["Current Value"]) for r in got.collect()) == [
+        ("1", "Description", "Old", "New"),
+        ("3", "Description", "Space", " Space "),
+        ("4", "Added", None, "x"),
+        ("5", "Price", "1", "2.5"),
+    ]
+    assert {r["Column"]: r["count"] for r in sync.changes_by_column(got).collect()} == {"Description": 2, "Added": 1, "Price": 1}
+
+
+def test_duplicates(spark):
+    df = increments(
+        spark,
+        ("A", "1", date(2024, 1, 2), "x", "f1", 1),
+        ("A", "1", date(2024, 1, 1), "x", "f2", 1),
+        ("A", "1", date(2024, 1, 1), "x", "f2", 2),
+        ("B", "1", date(2024, 1, 1), "x", "f1", 2),
+        ("C", None, None, "y", "f1", 3),
+        ("C", "", None, "y", "f1", 4),
+    )
+    got = [r.asDict() for r in sync.duplicate_keys(df, KEYS, "d", "v", "source_file", lists=True).collect()]
+    assert [(r["item"], r["occurrence_count"], r["file_count"]) for r in got] == [("A", 3, 2), ("C", 2, 1)]
+    assert [tuple(v) for v in got[0]["versions"]] == [(date(2024, 1, 1), "x", 2), (date(2024, 1, 2), "x", 1)]
+    assert sync.duplicate_history(df, KEYS, "d").count() == 3
+    assert items(sync.duplicate_versions(df, KEYS, rows_per_slice=1)) == ["A", "A", "A", "C", "C"]
+    no_price = sync.duplicate_keys(df, KEYS, "d", "absent")
+    assert no_price.columns == ["item", "acct", "occurrence_count", "first_version", "last_version"]
+
+
+def test_table_duplicates(spark):
+    current = table(spark, *[("A", "1", None, "x")] * 3, *[("B", "1", None, "x")] * 2, ("C", "1", None, "x"))
+    new = increments(spark, ("A", "1", None, "x"))
+    found = checks.table_duplicate_keys(current, new, KEYS)
+    assert sorted((r["item"], r["rows"], r["surplus"], r["being_updated"]) for r in found.collect()) == [
+        ("A", 3, 2, True),
+        ("B", 2, 1, False),
+    ]
+    assert tuple(checks.table_duplicate_summary(found).first()) == (2, 1, 2)
+
+
+@pytest.mark.parametrize("slices", [1, 1_000_000])
+@pytest.mark.parametrize("broadcast", [False, True])
+def test_every_row_gets_one_status(spark, slices, broadcast):
+    current = table(
+        spark, ("A", "1", date(2024, 1, 1), "a"), ("B", "1", date(2024, 1, 1), "b"), ("C", "1", date(2024, 1, 1), None), ("Z", "1", None, "z")
+    )
+    new = increments(
+        spark,
+        ("A", "1", date(2024, 2, 1), "changed", "f1", 1),
+        ("A", "1", date(2024, 3, 1), "changed again", "f2", 1),
+        ("B", "1", date(2024, 1, 1), "stale", "f1", 2),
+        ("B", "1", None, "no date", "f2", 2),
+        ("C", "1", date(2024, 2, 1), "", "f1", 3),
+        ("D", "1", date(2024, 2, 1), "new", "f1", 4),
+        ("D", "9", date(2024, 2, 1), "excluded", "f1", 5),
+        ("E", None, date(2024, 2, 1), "no account", "f2", 3),
+    )
+    touched = tagging.touched_rows(current, new, KEYS, broadcast, rows_per_slice=slices)
+    assert items(touched) == ["A", "B", "C"]
+    assert items(tagging.untouched_rows(current, new, KEYS, broadcast, rows_per_slice=slices)) == ["Z"]
+    tagged = tagging.tag_increments(touched, new, KEYS, "d", F.col("acct").isin("9"), rows_per_slice=slices)
+    assert sorted((r["v"], r["status"]) for r in tagged.collect()) == [
+        ("", "unchanged"),
+        ("changed", "updated"),
+        ("changed again", "updated"),
+        ("excluded", "excluded"),
+        ("new", "new"),
+        ("no account", "excluded"),
+        ("no date", "stale"),
+        ("stale", "stale"),
+    ]
+    assert sorted((r["v"]) for r in tagging.accepted_rows(tagged).collect()) == ["", "changed", "changed again", "new"]
+    changes = tagging.tagged_changes(tagged, KEYS, "d").collect()
+    assert sorted((r["Previous Value"], r["Current Value"]) for r in changes) == [("a", "changed"), ("a", "changed again")]
+
+    summary = {r["Metric"]: r["Value"] for r in audit.run_summary(tagged, "source_file").collect()}
+    parts = ("Excluded Rows", "Skipped Rows (Outdated)", "New Rows", "Matched Rows")
+    assert summary["Original Rows"] == sum(summary[p] for p in parts) == 8
+    assert summary["Files Processed"] == 2 and summary["Updated Rows"] == 2 and summary["Unchanged Rows"] == 1
+    per_file = {r["source_file"]: r for r in audit.per_file_summary(tagged, "source_file", "d").collect()}
+    assert per_file["f1"]["original_rows"] == 5 and per_file["f1"]["dropped_total"] == 2 and per_file["f1"]["skipped_stale"] == 1
+    assert per_file["f2"]["latest_update_date"] == date(2024, 3, 1)
+
+
+def test_only_new_rows_are_counted(spark):
+    new = increments(spark, ("N", "1", date(2024, 1, 1), "x"), ("M", "1", date(2024, 1, 1), "x"))
+    tagged = tagging.tag_increments(table(spark, ("A", "1", None, "x")), new, KEYS, "d")
+    summary = {r["Metric"]: r["Value"] for r in audit.run_summary(tagged, "source_file").collect()}
+    assert summary["New Rows"] == 2 and summary["Updated Rows"] == 0
+
+
+def test_samples_and_report(spark):
+    df = table(spark, ("B", "1", None, "x"), ("A", "2", None, "x"), ("A", "1", None, "x"))
+    assert [(r["item"], r["acct"]) for r in audit.sample(df, KEYS, 2).collect()] == [("A", "1"), ("A", "2")]
+    text = audit.render_markdown(
+        [{"Category": "Changes", "Metric": "New Rows", "Value": 1234}],
+        [{"source_file": "f1", "new_rows": 3, "latest_update_date": None}],
+        {"one_to_one": 2, "has_issues": True},
+        1.5,
+    )
+    assert "| Changes | New Rows | 1,234 |" in text and "issues found" in text and "| f1 | 3 |  |" in text
+    assert "No changes" in audit.render_markdown([], [], {"has_issues": False}, 1)
