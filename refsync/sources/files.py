@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,10 +22,14 @@ class Files:
     unreadable: list[str] = field(default_factory=list)
 
 
+def file_name() -> Column:
+    """Name of the file a row comes from. Spark's metadata column has it percent-encoded ('a%20b'), '+' as it is."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def with_source_file(df: DataFrame, name: str = "source_file", stem: bool = False) -> DataFrame:
     """Add the name of the file a row comes from (without its extension when `stem`)."""
-    file_name = F.col("_metadata.file_name")
-    return df.withColumn(name, F.regexp_replace(file_name, r"\.[^.]+$", "") if stem else file_name)
+    return df.withColumn(name, F.regexp_replace(file_name(), r"\.[^.]+$", "") if stem else file_name())
 
 
 def with_row_index(df: DataFrame, file_format: str, name: str = "row_index") -> DataFrame:
