@@ -139,7 +139,7 @@ def sync_increment(
         tables["per_file_summary"] = audit.per_file_summary(tagged, spec.source_file, version)
         tables["run_summary"] = audit.run_summary(tagged, spec.source_file)
     paths = audit_store.write_audit(tables, audit_root, run_id)
-    snapshots.commit(spark, table_root, snapshot, batch_id, run_id)
+    row_count = snapshots.commit(spark, table_root, snapshot, batch_id, run_id)
 
     counts = {r["status"]: r["count"] for r in tagged.groupBy("status").count().collect()}
     found = checks.check_counts(spark.read.parquet(paths["issues"])).first().asDict()
@@ -152,7 +152,7 @@ def sync_increment(
         seconds=seconds,
         files=file_names or [],
         snapshot=snapshot,
-        row_count=written.count(),
+        row_count=row_count,
         column_count=len(written.columns),
         new_rows=counts.get("new", 0),
         updated_rows=counts.get("updated", 0),
@@ -181,7 +181,7 @@ def full_refresh(
     written = snapshots.read_snapshot(spark, table_root, snapshot)
     run_id = f"{snapshot:06d}-{uuid.uuid4().hex[:8]}"
     paths = audit_store.write_audit({"issues": _issues(written, spec, permitted)}, audit_root, run_id)
-    snapshots.commit(spark, table_root, snapshot, None, run_id)
+    row_count = snapshots.commit(spark, table_root, snapshot, None, run_id)
     found = checks.check_counts(spark.read.parquet(paths["issues"])).first().asDict()
     seconds = time.monotonic() - started
     audit_store.record_run(
@@ -192,7 +192,7 @@ def full_refresh(
         seconds=seconds,
         files=file_names or [],
         snapshot=snapshot,
-        row_count=written.count(),
+        row_count=row_count,
         column_count=len(written.columns),
         **found,
     )
@@ -257,16 +257,17 @@ def report(spark: SparkSession, audit_root: str, result: SyncResult) -> str:
 
 
 def prepare_baseline(table: DataFrame, spec: TableSpec = TableSpec()) -> DataFrame:
-    """Table rows the feed is matched against: filters, distinct, mirrors, account prefix, prefixed names.
+    """Table rows the feed is matched against: filters, mirrors, distinct, account prefix, prefixed names.
 
-    The two prefix filters and the column selection reach the Parquet scan.
+    The two prefix filters and the column selection reach the Parquet scan. Mirrors are removed before the
+    distinct (copies do not change which rows have a twin), so the search for twins reads three columns.
     """
     rows = clean.exclude_prefix(table, spec.item, spec.baseline_item_prefix)
     rows = clean.exclude_prefix(rows, spec.vendor_name, spec.baseline_vendor_prefix)
-    rows = rows.drop(*[c for c in spec.baseline_drop if c in rows.columns]).distinct()
+    rows = rows.drop(*[c for c in spec.baseline_drop if c in rows.columns])
     rows = feed.suppress_mirrors(
         rows, [spec.item, spec.catalogue], spec.account, spec.mirror_accounts, spec.secondary_accounts
-    )
+    ).distinct()
     prefix = feed.account_prefix(spec.account, spec.account_prefix_length).alias("Corp_Acct_Prefix")
     return clean.prefix_columns(rows.select("*", prefix), spec.baseline_prefix)
 

@@ -958,6 +958,23 @@ def read_increments_json(spark, sf_dir):
     return _read_dropped(spark, sf_dir, "json")
 
 
+@query(
+    "read_daily",
+    """
+SELECT o_orderstatus AS status,
+       CASE WHEN o_orderpriority NOT IN ('5-LOW', '4-NOT SPECIFIED') THEN CAST(o_orderdate AS DATE) END AS day,
+       count(*) AS rows
+FROM orders GROUP BY ALL""",
+)
+def read_daily(spark, sf_dir):
+    """`orders` as daily CSV files, read back as a feed; rows per parsed day."""
+    folder = storage.new_path(spark, "daily")
+    raw = _raw_orders(spark, sf_dir).join(t.load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    raw.select("o_orderkey", "day", F.col("o_orderstatus").alias("status")).write.option("header", "true").csv(folder)
+    daily = files.read_daily(spark, folder, ["day"], glob="*.csv")
+    return daily.groupBy("status", "day").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("row_index", "SELECT count(*) AS rows, true AS without_gaps FROM orders")
 def row_index(spark, sf_dir):
     """Row numbers inside text files: per file they must run from 1 to the number of rows."""
@@ -1009,6 +1026,29 @@ def stream_latest_wins(spark, sf_dir):
     return _run_stream(spark, t.load(spark, sf_dir, "events"), ["user_id", "event_type"], "ts", ["event_id"])
 
 
+@query(
+    "stream_upsert",
+    f"""WITH {UPSERT_SQL}
+SELECT l_orderkey, l_linenumber, max(l_shipdate) AS updated, count(*) AS rows
+FROM (
+  SELECT l_orderkey, l_linenumber, l_shipdate FROM table_rows r
+  WHERE NOT EXISTS (SELECT 1 FROM winners w WHERE w.l_orderkey = r.l_orderkey AND w.l_linenumber = r.l_linenumber)
+  UNION ALL SELECT l_orderkey, l_linenumber, l_shipdate FROM winners
+) GROUP BY ALL""",
+)
+def stream_upsert(spark, sf_dir):
+    """Increments in several files, micro-batch by micro-batch into an existing table; newest date and rows per key."""
+    folder, root = storage.new_path(spark, "stream"), storage.new_path(spark, "stream-table")
+    snapshots.write_snapshot(t.table_rows(spark, sf_dir), root)
+    rows = t.increment_rows(spark, sf_dir).drop("source_file")
+    rows.repartition(4).write.parquet(folder)
+    stream = sync_stream.increment_stream(spark, folder, rows.schema, "parquet", "*.parquet", max_files=2)
+    checkpoint = storage.new_path(spark, "stream-checkpoint")
+    sync_stream.upsert_stream(stream, root, checkpoint, t.KEYS, t.VERSION, t.TIES).awaitTermination()
+    table = snapshots.read_snapshot(spark, root)
+    return table.groupBy(*t.KEYS).agg(F.max(t.VERSION).alias("updated"), F.count(F.lit(1)).alias("rows"))
+
+
 # --- jobs -----------------------------------------------------------------------------------------------------
 
 _SYNC_SQL = f"""{t.CONTRACT_SQL},
