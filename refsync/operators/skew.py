@@ -59,11 +59,17 @@ def heaviest(
     return HotKeys(tuple(keys), counts.sparkSession.createDataFrame(found, top.schema) if found else None)
 
 
-def _equal(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
+def keys_equal(
+    left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], null_safe: bool
+) -> Column:
+    """Condition for key columns with distinct names. Null-safe only where both sides may be null: `<=>` makes
+    two sort and hash keys out of one column.
+    """
     condition = None
-    for a, b in zip(left, right):
+    for a, b in zip(left_keys, right_keys):
         x, y = F.col(f"`{a}`"), F.col(f"`{b}`")
-        pair = x.eqNullSafe(y) if null_safe else x == y
+        both_nullable = left.schema[a].nullable and right.schema[b].nullable
+        pair = x.eqNullSafe(y) if null_safe and both_nullable else x == y
         condition = pair if condition is None else condition & pair
     return condition
 
@@ -86,7 +92,7 @@ def _mark(df: DataFrame, keys: Sequence[str], hot: HotKeys, name: str) -> DataFr
     """Add the slice count of the row's key (1 for most keys); `keys` are the columns that play `hot.on`."""
     names = [f"__hot_key{i}" for i in range(len(keys))]
     small = F.broadcast(hot.table.toDF(*names, name))  # at most MAX_HOT_KEYS rows
-    marked = df.join(small, _equal(keys, names, null_safe=True), "left").drop(*names)
+    marked = df.join(small, keys_equal(df, small, keys, names, null_safe=True), "left").drop(*names)
     return marked.withColumn(name, F.coalesce(F.col(name), F.lit(1)))
 
 
@@ -140,11 +146,11 @@ def skewed_join(
         hot_left = hot_keys(left, keys, rows_per_slice, max_keys)
     hot_right = no_right if right_unique else hot_keys(right, names, rows_per_slice, max_keys)
     if hot_left.table is None and hot_right.table is None:
-        joined = left.join(right, _equal(keys, names, null_safe), how)
+        joined = left.join(right, keys_equal(left, right, keys, names, null_safe), how)
         return joined if existence else joined.drop(*names)
 
     # One slice column per side that has heavy keys: its own rows are numbered, the other side's repeated.
-    condition = _equal(keys, names, null_safe)
+    condition = keys_equal(left, right, keys, names, null_safe)
     if hot_left.table is not None:
         left = _mark(left, hot_left.on, hot_left, "__left_n")
         right = _mark(right, [names[keys.index(k)] for k in hot_left.on], hot_left, "__left_m")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from refsync.functions.keys import CleanKeys, distinct_keys, key_names, with_keys
 from refsync.operators import sync
-from refsync.operators.skew import ROWS_PER_SLICE, skewed_join
+from refsync.operators.skew import ROWS_PER_SLICE, keys_equal, skewed_join
 
 # Increment keys are broadcast only up to this many rows (five short text parts: about 150 MB) and only when the
 # table is this many times larger; otherwise a shuffle of both sides is cheaper than building the broadcast.
@@ -54,11 +54,9 @@ def _existence(current, increments, keys, how, broadcast_keys, clean_increments,
     names = key_names(keys)
     left, right = with_keys(current, keys), distinct_keys(increments, CleanKeys(keys) if clean_increments else keys)
     if broadcast_keys:
-        right = F.broadcast(right.toDF(*[f"{n}_r" for n in names]))
-        condition = F.lit(True)
-        for n in names:
-            condition = condition & F.col(n).eqNullSafe(F.col(f"{n}_r"))
-        found = left.join(right, condition, how)
+        right_names = [f"{n}_right" for n in names]
+        right = right.toDF(*right_names)
+        found = left.join(F.broadcast(right), keys_equal(left, right, names, right_names, null_safe=True), how)
     else:
         found = skewed_join(left, right, names, how, right_unique=True, null_safe=True, rows_per_slice=rows_per_slice)
     return found.select(*[F.col(f"`{c}`") for c in current.columns])
