@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refsync.functions.keys import distinct_keys, key_columns, key_names, with_keys
+from refsync.functions.keys import KEY_PREFIX, CleanKeys, distinct_keys, key_columns, key_names, with_keys
 from refsync.functions.text import as_change_text
 from refsync.operators.skew import ROWS_PER_SLICE, heaviest, skewed_join
 
@@ -18,7 +18,7 @@ def _version_order(df: DataFrame, version: str, tie_breakers: Sequence[str] | No
     """Total order, newest first: version, then lineage, then a hash of the whole row."""
     if tie_breakers is None:
         tie_breakers = [c for c in LINEAGE if c in df.columns]
-        last = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).desc()]
+        last = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(KEY_PREFIX)]).desc()]
     else:
         last = []
     return [F.col(f"`{version}`").desc_nulls_last(), *[F.col(f"`{c}`").desc_nulls_last() for c in tie_breakers], *last]
@@ -160,14 +160,22 @@ def compare_columns(
 
 
 def previous_values(
-    current_latest: DataFrame, keys: Sequence[str], columns: Sequence[str], types: dict[str, str]
+    current: DataFrame,
+    keys: Sequence[str],
+    version: str,
+    columns: Sequence[str],
+    types: dict[str, str],
+    tie_breakers: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Normalised key and a struct `__previous` with the table's values; a column it lacks reads as null."""
-    values = [
-        (F.col(f"`{c}`") if c in current_latest.columns else F.lit(None).cast(types[c])).alias(c) for c in columns
-    ]
-    keyed = with_keys(current_latest, keys)
-    return keyed.select(*key_names(keys), F.struct(*values).alias("__previous"))
+    """Normalised key and a struct `__previous` with the values of the table's newest row of the key.
+
+    A column the table lacks reads as null. The normalised key is computed before the search for the newest row, so
+    a join on it takes over that step's partitioning and order.
+    """
+    names = key_names(keys)
+    values = [(F.col(f"`{c}`") if c in current.columns else F.lit(None).cast(types[c])).alias(c) for c in columns]
+    latest = latest_wins(with_keys(current, keys), CleanKeys(names), version, tie_breakers)
+    return latest.select(*names, F.struct(*values).alias("__previous"))
 
 
 def change_entries(columns: Sequence[str], new_types: dict[str, str], old_types: dict[str, str]) -> Column:
@@ -222,7 +230,7 @@ def field_changes(
     """
     columns = list(columns or compare_columns(increments, keys, version))
     types = dict(increments.dtypes)
-    previous = previous_values(latest_wins(current, keys, version, tie_breakers), keys, columns, types)
+    previous = previous_values(current, keys, version, columns, types, tie_breakers)
     paired = skewed_join(
         with_keys(increments, keys),
         previous,

@@ -88,11 +88,7 @@ def tag_increments(
     """
     columns = sync.compare_columns(increments, keys, version)
     types = dict(increments.dtypes)
-    latest = sync.latest_wins(touched, keys, version, tie_breakers)
-    values = [
-        (F.col(f"`{c}`") if c in touched.columns else F.lit(None).cast(types[c])).alias(c) for c in [*columns, version]
-    ]
-    previous = with_keys(latest, keys).select(*key_names(keys), F.struct(*values).alias("__previous"))
+    previous = sync.previous_values(touched, keys, version, [*columns, version], types, tie_breakers)
     paired = skewed_join(
         with_keys(increments, CleanKeys(keys) if clean_increments else keys),
         previous,

@@ -32,12 +32,32 @@ def with_source_file(df: DataFrame, name: str = "source_file", stem: bool = Fals
     return df.withColumn(name, F.regexp_replace(file_name(), r"\.[^.]+$", "") if stem else file_name())
 
 
-def with_row_index(df: DataFrame, file_format: str, name: str = "row_index") -> DataFrame:
+# The row counts of the blocks are broadcast when there cannot be more blocks than this (about 100 MB).
+MAX_BROADCAST_BLOCKS = 1_000_000
+
+
+def block_bound(spark: SparkSession, paths: Sequence[str]) -> int | None:
+    """Most blocks that a scan of these files can have; None when the session's sizes are not plain numbers."""
+    try:
+        smallest = min(
+            int(spark.conf.get(f"spark.sql.files.{key}").rstrip("bB")) for key in ("openCostInBytes", "maxPartitionBytes")
+        )
+    except ValueError:
+        return None
+    lengths = spark.read.format("binaryFile").load(list(paths)).select("length")
+    blocks = F.ceil(F.col("length") / F.lit(max(smallest, 1))) + 1
+    return lengths.agg(F.sum(blocks)).first()[0]
+
+
+def with_row_index(
+    df: DataFrame, file_format: str, name: str = "row_index", few_blocks: bool = False
+) -> DataFrame:
     """Add the 1-based row number inside the file.
 
     Parquet knows it. In text files rows are numbered inside each block the file is split into (the running id
     of a scan has no gaps there), and the block gets the number of rows before it in its file. That needs only
-    the row counts of the blocks, so a very large file is never numbered by one task.
+    the row counts of the blocks, so a very large file is never numbered by one task. `few_blocks` says that the
+    number of blocks was checked: their counts are broadcast and the rows are not shuffled.
     """
     if file_format == "parquet":
         return df.withColumn(name, F.col("_metadata.row_index") + 1)
@@ -54,7 +74,7 @@ def with_row_index(df: DataFrame, file_format: str, name: str = "row_index") ->
     before = F.sum("__rows").over(earlier)
     offsets = blocks.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__rows")
     # A block is one split of one file, so no (file, block) group can be large.
-    numbered = located.join(offsets, ["__file", "__block"])
+    numbered = located.join(F.broadcast(offsets) if few_blocks else offsets, ["__file", "__block"])
     return numbered.withColumn(name, F.col("__id") - F.col("__first") + F.col("__before") + 1).drop(
         "__file", "__block", "__id", "__first", "__before"
     )
@@ -73,7 +93,9 @@ def _read_group(
     spark: SparkSession, file_format: str, schema: T.StructType, paths: Sequence[str], source: str, stem: bool, index: str
 ) -> DataFrame:
     rows = _reader(spark, file_format).schema(schema).load(list(paths))
-    rows = with_row_index(with_source_file(rows, source, stem), file_format, index)
+    bound = None if file_format == "parquet" else block_bound(spark, paths)
+    few_blocks = bound is not None and bound <= MAX_BROADCAST_BLOCKS
+    rows = with_row_index(with_source_file(rows, source, stem), file_format, index, few_blocks)
     text = [
         F.col(f"`{f.name}`").cast("string").alias(f.name)
         if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
