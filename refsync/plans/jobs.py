@@ -129,8 +129,6 @@ def sync_increment(
         "rows_by_date": audit.rows_by_date(accepted, version, has_source),
         "new_rows": tagged.filter(F.col("status") == "new").drop("__previous", "status", *syncing.LINEAGE),
         "field_changes": tagging.tagged_changes(tagged, keys, version),
-        "duplicate_keys": syncing.duplicate_keys(accepted, clean_keys, version, spec.price, has_source),
-        "duplicate_history": syncing.duplicate_history(accepted, clean_keys, version, spec.price),
         "duplicate_versions": syncing.duplicate_versions(accepted, clean_keys, rows_per_slice),
         "table_duplicate_keys": checks.table_duplicate_keys(current, winners, keys),
         "issues": _issues(written, spec, permitted),
@@ -139,6 +137,13 @@ def sync_increment(
         tables["per_file_summary"] = audit.per_file_summary(tagged, spec.source_file, version)
         tables["run_summary"] = audit.run_summary(tagged, spec.source_file)
     paths = audit_store.write_audit(tables, audit_root, run_id)
+    # All rows of the repeated keys are there now; their summaries read only those.
+    repeated = spark.read.parquet(paths["duplicate_versions"])
+    summaries = {
+        "duplicate_keys": syncing.duplicate_keys(repeated, clean_keys, version, spec.price, has_source),
+        "duplicate_history": syncing.duplicate_history(repeated, clean_keys, version, spec.price),
+    }
+    paths |= audit_store.write_audit(summaries, audit_root, run_id)
     row_count = snapshots.commit(spark, table_root, snapshot, batch_id, run_id)
 
     counts = {r["status"]: r["count"] for r in tagged.groupBy("status").count().collect()}
