@@ -12,8 +12,17 @@ from refsync.functions.text import parse_number
 from refsync.operators.skew import ROWS_PER_SLICE, hot_keys, skewed_join
 from refsync.operators.sync import with_key_count
 
+# Names of the two match routes.
 ROUTES = ("DPN", "MPN")
 
+# Results of the contract date check.
+DATES_MATCH = "Date Matched"
+NEW_CONTRACT = "New Contract"
+BOTH_DIFFER = "Start & End Date not Match"
+START_DIFFERS = "Start Date not Match"
+END_DIFFERS = "End Date not Match"
+EXCEPTION = "Exception"
+
 
 def mirror_of(account: Column, pairs: Mapping[str, str]) -> Column:
     """Twin of an account, null when it has none."""
@@ -250,12 +259,12 @@ def date_match_status(start: Column, end: Column, table_start: Column, table_end
     """Compare the feed's contract dates with the table's; the first rule that holds decides."""
     start_differs, end_differs = start != table_start, end != table_end
     return (
-        F.when((start == table_start) & (end == table_end), "Date Matched")
-        .when(table_start.isNull(), "New Contract")
-        .when(start_differs & end_differs, "Start & End Date not Match")
-        .when(start_differs, "Start Date not Match")
-        .when(end_differs, "End Date not Match")
-        .otherwise("Exception")
+        F.when((start == table_start) & (end == table_end), DATES_MATCH)
+        .when(table_start.isNull(), NEW_CONTRACT)
+        .when(start_differs & end_differs, BOTH_DIFFER)
+        .when(start_differs, START_DIFFERS)
+        .when(end_differs, END_DIFFERS)
+        .otherwise(EXCEPTION)
     )
 
 

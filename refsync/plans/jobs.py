@@ -341,30 +341,16 @@ def integrate(
     )
     enriched = enriched.withColumns(
         {
-            "Contract Header Check": status,
-            "Suggested Contract No.": F.lit(None).cast("string"),
-            "Highest_UOM_Price": price,
+            roles.date_check: status,
+            roles.suggested_contract: F.lit(None).cast("string"),
+            roles.highest_price: price,
         }
     )
     enriched = storage.stage(enriched, "enriched")
     mapped = feed.map_codes(
-        enriched,
-        manufacturer_map,
-        roles.manufacturer_code,
-        "BC_Manufacturer No_",
-        "All_Manufacturer Number",
-        "Suggested AllScripts MFN",
-        rows_per_slice,
-    )
-    mapped = feed.map_codes(
-        mapped,
-        vendor_map,
-        roles.vendor_code,
-        "BC_Vendor No_",
-        "All_Vendor Code",
-        "Suggested AllScripts VN",
-        rows_per_slice,
+        enriched, manufacturer_map, roles.manufacturer_code, *roles.manufacturer_mapping, rows_per_slice
     )
+    mapped = feed.map_codes(mapped, vendor_map, roles.vendor_code, *roles.vendor_mapping, rows_per_slice)
     mapped = storage.stage(mapped.withColumnRenamed(roles.candidate, p + spec.item), "mapped")
     return feed.flag_duplicates(mapped, row_keys, rows_per_slice=rows_per_slice)
 
