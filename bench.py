@@ -1,7 +1,7 @@
 """Headline queries on local[$BENCH_CPUS] at $BENCH_SF_DIR; prints one JSON line.
 
-Every operator query is run once to warm up and then timed; the two jobs are timed on their first run. What a job starts from (the table snapshot, the dropped files)
-is written before the clock starts.
+Every operator query is run once to warm up and then timed; the two jobs are timed on their first run. What a job
+starts from (the table snapshot, the dropped files) is written before the clock starts.
 """
 
 from __future__ import annotations
