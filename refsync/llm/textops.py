@@ -39,7 +39,7 @@ _BYTE = _random(256, 1)[_FOLD]  # A-Z count as a-z
 _BYTE[_BLANK] = 0
 _STEP = _random(64, 2) | np.uint64(1)
 _BASE = np.uint64(int(_random(1, 3)[0]) | 5)
-_powers = np.ones(64, np.uint64)
+_powers = np.ones(1, np.uint64)
 
 
 def _powers_of_base(n: int) -> np.ndarray:
@@ -122,7 +122,7 @@ def shingles(hashes: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarra
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     runs = np.zeros(max(0, n - k + 1), np.uint64)
     for j in range(k if len(runs) else 0):
-        runs += mix(hashes[j : j + len(runs)] + _STEP[j + 1])  * _STEP[j + 1]
+        runs += mix(hashes[j : j + len(runs)] + _STEP[j + 1]) * _STEP[j + 1]
     inside = np.maximum(counts - k + 1, 0)
     short = (counts > 0) & (counts < k)
     sizes = inside + short

@@ -2,7 +2,7 @@
 
 Texts are split at safe boundaries, which is right after an ASCII white space byte: for tokenizers that drop white
 space no token, no special string and no normalisation (composition never starts at a space) reaches across it. So a
-text's count is the sum of its words' counts, and only words that a worker has not met yet are encoded. They are packed
+text's count is the sum of its words' counts, and only words that a task has not met yet are encoded. They are packed
 into batches of about equal bytes, and long texts are split in blocks first, so that neither a long text nor many of
 them decide a task's memory. Tokenizers for which white space is part of a token (`split=False`) get whole texts.
 
@@ -26,9 +26,11 @@ TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
 BATCH_BYTES = 1 << 19
 BLOCK_BYTES = 1 << 20
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 800_000
+_ENDING = b".,;:!?$%&#*)"
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file on this machine."""
     import public_tokenizers
@@ -86,34 +88,47 @@ class Counter:
         self.encode, self.split = encode, split
         self.known: dict[bytes, int] = {}
 
-    def count(self, text: bytes) -> int:
+    def _learn(self, words: set[bytes]) -> None:
+        """Encode the words not met before: each as stem and punctuation at its end, where both are safe to part.
+
+        After an ASCII letter or digit, punctuation up to the white space is a piece of its own; A-Z become a-z. Words
+        that may hold a special string are encoded as they are.
+        """
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > KNOWN_WORDS:
+            self.known.clear()
+            new = words
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        for word in new:
+            stem = word.rstrip(_ENDING)
+            if stem[-1:].isalnum() and b"<|" not in word:
+                parts[word] = stem.lower(), word[len(stem) :]
+        alone = new.difference(parts).union(*parts.values()) if parts else new
+        alone = alone.difference(self.known, [b""])
+        self.known[b""] = 0
+        for group in packed(alone):
+            self.known.update(zip(group, self.encode([w.decode("utf-8") for w in group]), strict=True))
+        for word, (stem, ending) in parts.items():
+            self.known[word] = self.known[stem] + self.known[ending]
+
+    def count(self, texts: list[bytes]) -> list[int]:
         if not self.split:
-            return self.encode([text.decode("utf-8")])[0]
-        total = 0
-        for block in blocks(text):
-            found = block.split()
-            new = set(found).difference(self.known)
-            if len(self.known) + len(new) > KNOWN_WORDS:
-                self.known.clear()
-                new = set(found)
-            for group in packed(new):
-                self.known.update(zip(group, self.encode([w.decode("utf-8") for w in group]), strict=True))
-            total += sum(map(self.known.__getitem__, found))
-        return total
+            return [n for group in packed(texts) for n in self.encode([t.decode("utf-8") for t in group])]
+        found = [text.split() for text in texts]
+        self._learn(set().union(*found))
+        return [sum(map(self.known.__getitem__, own)) for own in found]
 
 
 def lengths(texts: pa.Array, counter: Counter) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, tokens) of every text. New words of several texts are encoded together."""
     data, offsets = textops.text_buffers(texts)
     tokens = np.zeros(len(offsets) - 1, np.int64)
-    for first, last in textops.slices(offsets):
-        if counter.split and offsets[last] - offsets[first] <= 2 * textops.SLICE_BYTES:
-            # a text's last word must not run into the next text, which the joining space sees to
-            own = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(first, last)]
-            counter.count(b" ".join(own))
-            tokens[first:last] = [counter.count(text) for text in own]
+    for first, last in textops.slices(offsets, BLOCK_BYTES):
+        own = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(first, last)]
+        if counter.split and last == first + 1:
+            tokens[first] = sum(counter.count([block])[0] for block in blocks(own[0]))
         else:
-            tokens[first:last] = [counter.count(data[offsets[i] : offsets[i + 1]].tobytes()) for i in range(first, last)]
+            tokens[first:last] = counter.count(own)
     return np.diff(offsets), tokens
 
 
