@@ -3,8 +3,9 @@
 The filter is a table of 256-bit blocks (block, eight 32-bit words). A canonical URL sets one bit in each word of the
 block that its hash picks, so a test reads one row. Blocks are built by a bitwise-or aggregate that combines before the
 shuffle. The block table is broadcast only if its size, known from the number of blocks, is below a bound; otherwise it
-is joined by block number. Rows that miss a bit are certainly not listed and skip the join; the others are joined with the listed URLs exactly, which removes the
-filter's false positives. All of it is DataFrame expressions.
+is joined by block number. Rows that miss a bit are certainly not listed and skip the join; the others are joined with the
+listed URLs exactly, which removes the
+false positives. All of it is DataFrame expressions.
 
 Host and path rules come first: a rule fits its host and all subdomains if the URL's path starts with the rule's path;
 the longest fitting rule decides. Only where no rule fits does the list decide.
@@ -66,7 +67,7 @@ def _block(key: Column, blocks: int) -> Column:
 
 def _bit(key: Column, word: int) -> Column:
     """The bit of a word that a key sets, from a second hash."""
-    return F.shiftleft(F.lit(1), F.pmod(F.xxhash64(F.lit(word + 1), key), F.lit(32)).cast("int"))
+    return F.call_function("shiftleft", F.lit(1), F.pmod(F.xxhash64(F.lit(word + 1), key), F.lit(32)).cast("int"))
 
 
 def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
