@@ -196,24 +196,24 @@ def train(labelled: DataFrame) -> Model:
     return Model(langs, counts)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with lang_pred and score (columns of these names are replaced)."""
-    kept = docs.drop("lang_pred", "score")
-    at = kept.columns.index(text)
+def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """`docs`, or its columns `keep`, with lang_pred and score (columns of these names are replaced)."""
+    names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    source = docs.select(*names, docs[text].alias("__text"))
     model_of = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], []
-            for _, texts in _text_slices(batch.column(at)):
+            for _, texts in _text_slices(batch.column(len(names))):
                 lang, score = model_of.value.predict(texts)
                 langs += lang
                 scores.append(score)
-            columns = [*batch.columns, pa.array(langs, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores]))]
-            yield pa.RecordBatch.from_arrays(columns, [*kept.columns, "lang_pred", "score"])
+            columns = [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores]))]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__text")
+    return source.mapInArrow(run, f"{fields}, lang_pred string, score double")
 
 
 def fold(doc_id: Column) -> Column:
@@ -233,8 +233,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; fold 1 is held out from learning."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train_on_folds(docs)
-    judged = predict(docs.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "text"), model)
-    return judged.select("doc_id", "held_out", "lang_pred", "score")
+    return predict(docs.withColumn("held_out", fold(F.col("doc_id")) == 1), model, keep=["doc_id", "held_out"])
 
 
 QUERIES = {"op3_language_id": op3_language_id}
