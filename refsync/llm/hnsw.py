@@ -23,6 +23,7 @@ class Graph:
         order = np.argsort(-self.level, kind="stable")  # the nodes of upper levels come first and route the others
         self.levels = [np.full((n, 2 * LINKS if k == 0 else LINKS), -1, np.int32) for k in range(self.level.max() + 1 if n else 1)]
         self.entry = int(order[0]) if n else -1
+        self._into: tuple[np.ndarray, np.ndarray] | None = None
         done = min(n, 64)
         for k in range(len(self.levels)):
             own = order[:done][self.level[order[:done]] >= k]
@@ -35,10 +36,10 @@ class Graph:
     def _insert(self, some: np.ndarray) -> None:
         """Link new nodes at all their levels, to older nodes and to each other."""
         queries = self.x[some]
-        at = self._descend(queries, 0, [])
+        at = self._descend(queries, 0)
         for k in range(min(self.level[some].max(), len(self.levels) - 1), -1, -1):
             own = np.flatnonzero(self.level[some] >= k)
-            starts = at[own] if k == 0 else self._descend(queries[own], k, [])
+            starts = at[own] if k == 0 else self._descend(queries[own], k)
             found, _ = self._beam(k, queries[own], starts, BUILD_BEAM, None)
             near = queries[own] @ queries[own].T
             np.fill_diagonal(near, -2)
@@ -96,7 +97,7 @@ class Graph:
             new = np.where(place < count[:, None], source[np.minimum(begin[:, None] + place, len(source) - 1)], -1)
             table[own] = self._select(own, np.concatenate([table[own], new], axis=1), most)
 
-    def _descend(self, queries: np.ndarray, to: int, _: list) -> np.ndarray:
+    def _descend(self, queries: np.ndarray, to: int) -> np.ndarray:
         """Greedy walk through the levels above `to`; the node reached for each query."""
         at = np.full(len(queries), self.entry)
         best = queries @ self.x[self.entry]
@@ -139,9 +140,9 @@ class Graph:
         open_ = np.zeros((n_queries, beam), bool)
         ids[:, 0], near[:, 0], open_[:, 0] = starts, np.einsum("bd,bd->b", queries, x[starts]), True
         seen[every, starts] = 1
-        hit_query, hit_node, expanded = [every[near[:, 0] >= threshold]], [starts[near[:, 0] >= threshold]], []
-        if threshold is None:
-            hit_query, hit_node = [], []
+        hit_query, hit_node = [], []
+        if threshold is not None:
+            hit_query, hit_node = [every[near[:, 0] >= threshold]], [starts[near[:, 0] >= threshold]]
         active = every
         step = 1
         while len(active):
@@ -154,8 +155,6 @@ class Graph:
                 break
             chosen = np.where(usable, ids[active[:, None], best], -1)
             open_[active[:, None], best] = False
-            if threshold is not None:
-                expanded.append((np.repeat(active, chosen.shape[1])[chosen.ravel() >= 0], chosen.ravel()[chosen.ravel() >= 0]))
             new = np.where(chosen[:, :, None] >= 0, table[chosen], -1).reshape(len(active), -1)
             new = np.where((new >= 0) & (seen[active[:, None], new] == 0), new, -1)
             place = np.arange(new.shape[1]) + step
@@ -178,18 +177,15 @@ class Graph:
         if threshold is None:
             return ids, None
         query, node = np.concatenate(hit_query), np.concatenate(hit_node)
-        # from every hit on, all hits around it: groups larger than the beam are found whole
-        done = np.concatenate([e[0] * len(x) + e[1] for e in expanded]) if expanded else np.zeros(0, np.int64)
-        rest = ~np.isin(query * len(x) + node, done)
-        edge_query, edge_node = query[rest], node[rest]
+        # from every hit on, all hits around it, along links and against them: groups larger than the beam come whole
+        edge_query, edge_node = query, node
         queries_of, nodes_of = [query], [node]
         while len(edge_query):
             next_query, next_node = [], []
             for a in range(0, len(edge_query), 1 << 13):
-                new = table[edge_node[a : a + (1 << 13)]]
-                row = np.broadcast_to(edge_query[a : a + (1 << 13), None], new.shape)
-                some = (new >= 0) & (seen[row, new] == 0)
-                pair = np.unique(row[some].astype(np.int64) * len(x) + new[some])
+                row, new = self._around(edge_query[a : a + (1 << 13)], edge_node[a : a + (1 << 13)])
+                some = seen[row, new] == 0
+                pair = np.unique(row[some] * len(x) + new[some])
                 row, new = pair // len(x), pair % len(x)
                 seen[row, new] = 1
                 hit = np.einsum("bd,bd->b", queries[row], x[new]) >= threshold
@@ -200,9 +196,25 @@ class Graph:
             nodes_of.append(edge_node)
         return ids, (np.concatenate(queries_of), np.concatenate(nodes_of))
 
+    def _around(self, query: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, neighbour) of all links from and to the nodes at the ground level."""
+        if self._into is None:
+            table = self.levels[0]
+            source, target = np.repeat(np.arange(len(table)), table.shape[1]), table.ravel()
+            source, target = source[target >= 0], target[target >= 0]
+            order = np.argsort(target, kind="stable")
+            self._into = source[order], np.searchsorted(target[order], np.arange(len(table) + 1))
+        out = self.levels[0][node]
+        some = out >= 0
+        source, offsets = self._into
+        counts = offsets[node + 1] - offsets[node]
+        places = np.repeat(offsets[node] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        rows = np.broadcast_to(query[:, None], out.shape)[some]
+        return np.concatenate([rows, np.repeat(query, counts)]).astype(np.int64), np.concatenate([out[some], source[places]]).astype(np.int64)
+
     def within(self, queries: np.ndarray, threshold: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, node) of the pairs at or above the threshold that the search reaches."""
         if not len(self.x) or not len(queries):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         queries = np.ascontiguousarray(queries, np.float32)
-        return self._beam(0, queries, self._descend(queries, 0, []), min(beam, len(self.x)) if len(self.x) > 1 else 1, threshold)[1]
+        return self._beam(0, queries, self._descend(queries, 0), min(beam, len(self.x)) if len(self.x) > 1 else 1, threshold)[1]
