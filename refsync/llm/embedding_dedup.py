@@ -182,8 +182,8 @@ SQL = {
     "op4_embedding_dedup": """
 WITH RECURSIVE valid AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 edges AS (SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
 reach AS (SELECT vec_id AS start, vec_id AS last FROM embeddings UNION SELECT start, b FROM reach JOIN edges ON last = a),
 comp AS (SELECT start, min(last) AS component_id FROM reach GROUP BY start),
