@@ -1,13 +1,67 @@
-"""The corpus pipeline: stages over `documents`, each written and read again by the next."""
+"""The corpus pipeline: stages over `documents`, each written and read again by the next.
+
+Each stage works on what its predecessor kept and returns the columns it got; the last one adds the shards. Empty tables
+pass through all stages, extra columns are carried along.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from refsync.llm import decontaminate, jaccard_join, language_id, mixing, sharding
 from refsync.sources.storage import stage
 
-STAGES: list = []
-#: Language ID and the mixing model have no SQL; tests compare the pipeline with a brute-force version.
+#: A document whose largest language has a smaller share is rejected, as is one without letters.
+LEAST_LANGUAGE_SHARE = 0.5
+#: Near-duplicates: word shingles and percent of similarity.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: texts without a letter and texts of no main language go."""
+    model = language_id.train_on_folds(docs)
+    judged = language_id.predict(docs, model)
+    kept = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE)
+    return judged.filter(kept).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar texts: the one with the smallest id. Of a repeated id one row stays."""
+    found = jaccard_join.jaccard_components(docs, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
+    found = stage(found.select("doc_id", "component_id"), "pipeline-components")
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = stage(found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-repeated")
+    if repeated.isEmpty():
+        return kept
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+
+
+def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of `benchmark`."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn by the rates that meet the target weights, each at most once."""
+    labelled = mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return mixing.draw(mixing.mix(docs, labelled), most=1).select(*docs.columns)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their shard and slot."""
+    return sharding.shard(docs)
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("benchmarks", benchmarks),
+    ("weights", weights),
+    ("shards", shards),
+]
+#: SQL has no expression for the language and mixing models; tests compare the pipeline with a brute-force version.
 ORACLE_SQL = None
 
 
@@ -17,5 +71,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = stage(docs, name)
+            docs = stage(docs, f"pipeline-{name}")
     return docs
