@@ -1,10 +1,10 @@
 """Connected components of a table of links, without collecting links or components anywhere.
 
-Each task first replaces the links of a chunk by a forest of stars (union of what it can see), which keeps connectivity
-and leaves fewer links than nodes. Then rounds of contraction run as joins: every node moves to the neighbour that
-comes first in an order that changes by round, and links are renamed to where their ends went. The number of nodes left
-falls by a constant share per round, whatever the shape (long chains, stars). Every round's table is written to the
-shared work folder, which cuts the lineage.
+Tasks first replace the links of bounded chunks by forests of stars (the union of what a chunk shows), which keeps
+connectivity and leaves fewer links than nodes. If there was more than one chunk, rounds of contraction follow as joins:
+every node moves to the neighbour that comes first in an order that changes by round, links are renamed to where their
+ends went, and are reduced in chunks again. The number of nodes left falls by a constant share per round, whatever the
+shape (long chains, stars). Every round's table is written to the shared work folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from refsync.sources.storage import stage
 
-CHUNK_LINKS = 1 << 20
+CHUNK_LINKS = 1 << 18
+_MASKS = [int(x) for x in np.random.default_rng(31).integers(0, 1 << 62, 64)]  # node ^ mask: another order per round
 
 
 def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,11 +57,17 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield reduced()
 
 
-def stars(links: DataFrame) -> DataFrame:
+def stars(links: DataFrame, chunks: int | None = None) -> DataFrame:
     """Fewer links (a, b), a < b, with the same components; `links` has two bigint columns."""
     a, b = links.columns[:2]
     own = links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
-    return own.mapInArrow(_stars, "a bigint, b bigint")
+    return (own.coalesce(chunks) if chunks else own).mapInArrow(_stars, "a bigint, b bigint")
+
+
+def _reduced(links: DataFrame) -> tuple[DataFrame, bool]:
+    """(stars of written links, whether they are whole components)."""
+    chunks = -(-links.count() // CHUNK_LINKS)
+    return (stage(stars(links, chunks), "links"), chunks == 1) if chunks else (links, True)
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -68,22 +75,23 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     `links` has two bigint columns; rows with a null end or with equal ends say nothing. No links give no rows.
     """
-    left = stage(stars(links.dropna(subset=links.columns[:2])), "links")
-    moves: list[DataFrame] = []
+    links = links.toDF("a", "b").dropna()
+    left, whole = _reduced(stage(stars(links), "links"))
+    if whole:
+        return left.select(F.col("b").alias("node"), F.col("a").alias("component")).union(left.select("a", "a").distinct())
     nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
-    number = 0
+    moves: list[DataFrame] = []
     while not left.isEmpty():
-        number += 1
-        rank = lambda c: F.xxhash64(F.lit(number), c)  # noqa: B023, E731
+        mask = F.lit(_MASKS[len(moves) % len(_MASKS)])
+        ordered = lambda c: F.col(c).bitwiseXOR(mask)  # noqa: B023, E731
         both = left.union(left.select("b", "a")).toDF("node", "to")
-        first = both.groupBy("node").agg(F.min(F.struct(rank(F.col("to")).alias("rank"), "to")).alias("first"))
-        to = F.when(F.struct(rank(F.col("node")).alias("rank"), F.col("node").alias("to")) < F.col("first"), F.col("node")).otherwise(F.col("first.to"))
-        move = stage(first.select("node", to.alias("to")), "moves")
+        first = both.groupBy("node").agg(F.min(ordered("to")).alias("first"))
+        move = stage(first.select("node", F.least("first", ordered("node")).bitwiseXOR(mask).alias("to")), "moves")
         moves.append(move)
         renamed = left.join(move.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").join(
             move.select(F.col("node").alias("b"), F.col("to").alias("y")), "b"
         )
-        left = stage(stars(renamed.select("x", "y").filter("x <> y").distinct()), "links")
+        left, _ = _reduced(stage(stars(renamed.select("x", "y").filter("x <> y")), "links"))
     at = nodes.select("node", F.col("node").alias("root"))
     for move in moves:
         at = at.join(move.select(F.col("node").alias("root"), "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))

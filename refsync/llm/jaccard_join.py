@@ -37,7 +37,7 @@ from refsync.sources.storage import stage
 
 PARITY_BINS = 512
 STAR_ROUNDS = 2
-BROADCAST_NODES = 1_000_000
+BROADCAST_IDS = 1_000_000
 SLICE_TEXTS = 4096
 #: Scrambles the order of nodes, so that each star round has other centers.
 ROUND_MASKS = (0, 0x5DEECE66D1234567, 0x2545F4914F6CDD1D)
@@ -135,22 +135,31 @@ def _signature(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return first, second, np.packbits(odd).view(np.uint64)
 
 
-def _describe(k: int, bands: Bands, segments: np.ndarray, deletions: np.ndarray) -> Callable:
+def _describe(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, hashes, offsets in _sets(batch.column(1), k):
-                sizes = np.diff(offsets)
                 first, second, parity = _signature(hashes, offsets)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), _signed(first), _signed(second), _lists(parity, np.arange(b - a + 1) * (PARITY_BINS // 64))],
+                    ["doc_id", "n_shingles", "s1", "s2", "parity"],
+                )
+
+    return run
+
+
+def _index(k: int, bands: Bands, segments: np.ndarray, deletions: np.ndarray) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, hashes, offsets in _sets(batch.column(1), k):
+                sizes = np.diff(offsets)
                 band = np.where(sizes > 0, bands.of(np.maximum(sizes, 1)), -1)
                 own = _keys(hashes, offsets, band, segments, deletions)
                 lower = _keys(hashes, offsets, np.where(band > 0, band - 1, -1), segments, deletions)
                 keys, owners = np.concatenate([own[0], lower[0]]), np.concatenate([own[1], lower[1]])
                 order = np.argsort(owners, kind="stable")
                 ends = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=b - a))])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(sizes), _signed(first), _signed(second), _lists(parity, np.arange(b - a + 1) * (PARITY_BINS // 64)), _lists(keys[order], ends)],
-                    ["doc_id", "n_shingles", "s1", "s2", "parity", "keys"],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _lists(keys[order], ends)], ["node", "keys"])
 
     return run
 
@@ -172,48 +181,43 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return near & (differ * (100 + percent) <= sizes * (100 - percent))
 
 
-def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """One row per document: doc_id, n_shingles, set signature (s1, s2), parity bins, index keys."""
-    spark = docs.sparkSession
-    # band sizes for the costs: words counted roughly, over all documents; the bands of the largest text bound the list
-    rough = F.greatest(F.size(F.split(F.coalesce("text", F.lit("")), " ")), F.lit(1))
-    band_number = F.floor(F.log(rough) / math.log(100 / percent))
-    largest = docs.agg(F.max(F.octet_length("text"))).first()[0] or 1  # no text has more shingles than bytes
+def _plan(sets: DataFrame, percent: int) -> tuple[Bands, np.ndarray, np.ndarray]:
+    """(bands, segments, deletions by band) from the sizes of all sets."""
+    largest = sets.agg(F.max("n_shingles")).first()[0] or 1
     bands = Bands(percent, largest)
-    per_band = {int(row[0]): row[1] for row in docs.groupBy(band_number.alias("band")).count().collect()}
-    n_bands = len(bands.lows) - 1
+    number = F.floor(F.log("n_shingles") / math.log(100 / percent))  # close to the bands; only for the costs
+    per_band = {int(row[0]): row[1] for row in sets.filter("n_shingles > 0").groupBy(number.alias("band")).count().collect()}
     plan = []
-    for band in range(n_bands):
-        low, high = int(bands.lows[band]), int(bands.lows[band + 1])
+    for band, (low, high) in enumerate(zip(bands.lows[:-1].tolist(), bands.lows[1:].tolist(), strict=True)):
         numbers = range(int(math.log(low) / math.log(100 / percent)), int(math.log(high) / math.log(100 / percent)) + 2)
         plan.append(allocate(bands.difference(band), low, max(1, sum(per_band.get(i, 0) for i in numbers))))
-    segments, deletions = np.array([p[0] for p in plan]), np.array([p[1] for p in plan])
-    schema = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, parity array<bigint>, keys array<bigint>"
-    return stage(docs.mapInArrow(_describe(k, bands, segments, deletions), schema), "jaccard-sets") if spark else None
+    return bands, np.array([p[0] for p in plan]), np.array([p[1] for p in plan])
+
+
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    """The table, to be broadcast if it has at most so many rows (of one bigint)."""
+    return F.broadcast(table) if table.count() <= rows else table
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of `docs`."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    sets = describe(docs, k, percent)
+    sets = stage(docs.mapInArrow(_describe(k), "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, parity array<bigint>"), "jaccard-sets")
     same = ["s1", "s2", "n_shingles"]
-    filled = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    nodes = stage(filled.groupBy(*same).agg(F.min("doc_id").alias("node")), "jaccard-nodes")
-    chosen = filled.join(nodes.withColumnRenamed("node", "doc_id"), [*same, "doc_id"], "left_semi").withColumnRenamed("doc_id", "node")
-
-    keys = chosen.select("node", F.explode("keys").alias("key"))
-    shared = stage(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key"), "jaccard-shared")
-    members = stage(keys.join(shared, "key").distinct(), "jaccard-members")
+    nodes = stage(sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("node")), "jaccard-nodes")
+    placed = stage(sets.join(nodes, same, "left").select("doc_id", F.col("n_shingles").alias("n"), "parity", "node"), "jaccard-placed")
+    # documents whose text stands for its set are indexed, copies are not
+    stands = F.max(F.col("doc_id") == F.col("node"))
+    copies = stage(placed.filter("node IS NOT NULL").groupBy("doc_id").agg(stands.alias("stands")).filter("NOT stands").select("doc_id"), "jaccard-copies")
+    chosen = docs.filter("doc_id IS NOT NULL").join(_small(copies, BROADCAST_IDS), "doc_id", "left_anti").select("doc_id", "text")
+    keys = chosen.mapInArrow(_index(k, *_plan(sets, percent)), "node bigint, keys array<bigint>").select("node", F.explode("keys").alias("key"))
+    shared = stage(keys.groupBy("key").count().filter("count > 1").select("key"), "jaccard-shared")
+    members = stage(keys.join(_small(shared, BROADCAST_IDS), "key"), "jaccard-keys")
     candidates = stage(members.select("node").distinct(), "jaccard-candidates")
-    info = chosen.select("node", F.col("n_shingles").alias("n"), "parity")
+    info = placed.filter("doc_id = node").select("node", "n", "parity")
     members = stage(members.join(info, "node"), "jaccard-members")
-    info = stage(info.join(candidates, "node", "left_semi"), "jaccard-info")
-
-    wanted = candidates.withColumnRenamed("node", "doc_id")
-    if candidates.count() <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted)
-    shingle_sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(k), "node bigint, shingles array<bigint>")
-    shingle_sets = stage(shingle_sets, "jaccard-shingles")
+    wanted = _small(candidates.withColumnRenamed("node", "doc_id"), BROADCAST_IDS)
+    shingle_sets = stage(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(k), "node bigint, shingles array<bigint>"), "jaccard-shingles")
 
     def verified(pairs: DataFrame) -> DataFrame:
         side = lambda c: shingle_sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
@@ -226,46 +230,32 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     labelled = members.withColumn("component", F.col("node"))
     for mask in [*ROUND_MASKS[:STAR_ROUNDS], None]:
         if links is not None:
-            found = stage(connected_components(links), "jaccard-components")
+            found = connected_components(links)
             labelled = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        apart = F.min("component") < F.max("component")
         if mask is not None:
-            order = F.col("node").bitwiseXOR(F.lit(mask))
-            groups = labelled.groupBy("key").agg(F.min(order).bitwiseXOR(F.lit(mask)).alias("c"), apart.alias("apart")).filter("apart")
-            centers = groups.join(info.select(F.col("node").alias("c"), F.col("n").alias("c_n"), F.col("parity").alias("c_parity")), "c")
-            if links is not None:
-                centers = centers.join(found.select(F.col("node").alias("c"), F.col("component").alias("c_component")), "c", "left")
-                centers = centers.withColumn("c_component", F.coalesce("c_component", "c"))
-            else:
-                centers = centers.withColumn("c_component", F.col("c"))
-            centers = stage(centers.drop("apart"), "jaccard-centers")
-            near = labelled.join(centers, "key").filter(F.col("component") != F.col("c_component")).filter(_possible("", "c_", percent))
-            pairs = near.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+            own = F.struct(F.col("node").bitwiseXOR(F.lit(mask)).alias("order"), "node", "n", "parity", "component")
+            groups = labelled.groupBy("key").agg(F.min(own).alias("c"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+            centers = groups.select("key", *[F.col(f"c.{x}").alias(f"c_{x}") for x in ("node", "n", "parity", "component")])
+            near = labelled.join(stage(centers, "jaccard-centers"), "key").filter(F.col("component") != F.col("c_component")).filter(_possible("", "c_", percent))
         else:
-            open_keys = stage(labelled.groupBy("key").agg(apart.alias("apart")).filter("apart").select("key"), "jaccard-open")
-            rest = stage(labelled.join(open_keys, "key"), "jaccard-rest")
-            other = rest.select("key", F.col("node").alias("c"), F.col("n").alias("c_n"), F.col("parity").alias("c_parity"), F.col("component").alias("c_component"))
+            groups = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+            rest = stage(labelled.join(stage(groups.select("key"), "jaccard-open"), "key"), "jaccard-rest")
+            other = rest.select("key", *[F.col(x).alias(f"c_{x}") for x in ("node", "n", "parity", "component")])
             near = rest.join(other, (rest["key"] == other["key"]) & (F.col("component") < F.col("c_component")) & _possible("", "c_", percent))
-            pairs = near.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+        pairs = near.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "jaccard-pairs")
+        if pairs.isEmpty():
+            continue
         tried = pairs if tried is None else tried.union(pairs)
         new = verified(pairs)
         links = new if links is None else links.union(new)
-    found = connected_components(links)
-    by_set = nodes.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
-    by_set = stage(by_set, "jaccard-by-set")
-    # rows of one doc_id with different texts are one node
-    twice = filled.groupBy("doc_id").agg(F.min("s1").alias("low"), F.max("s1").alias("high")).filter("low < high").select("doc_id")
-    joined = filled.join(F.broadcast(twice) if twice.count() <= BROADCAST_NODES else twice, "doc_id", "left_semi").join(by_set, same).select("doc_id", "component")
-    result = sets.select("doc_id", *same).join(by_set, same, "left")
-    again = connected_components(joined) if not joined.isEmpty() else None
-    if again is not None:
-        again = stage(again, "jaccard-same-id")
-        result = result.join(again.select(F.col("node").alias("component"), F.col("component").alias("merged")), "component", "left")
-        result = result.withColumn("component", F.coalesce("merged", "component"))
-    return result.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    # copies belong to their set's node, which also unites rows of one id with different texts
+    copied = placed.filter("doc_id <> node").select("node", "doc_id")
+    found = stage(connected_components(copied if links is None else copied.union(links)), "jaccard-components")
+    result = placed.join(found, "node", "left").withColumnRenamed("n", "n_shingles")
+    return result.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
