@@ -16,6 +16,8 @@ from refsync.sources.storage import stage
 LEAST_LANGUAGE_SHARE = 0.5
 #: Near-duplicates: word shingles and percent of similarity.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+#: Tokens to draw, as a share of all tokens: so many that documents of the good domain have a rate of one or more.
+BUDGET_SHARE = 1.1
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +46,9 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by the rates that meet the target weights, each at most once."""
+    """Documents drawn by the rates that meet the target weights, each at most once: good ones stay, toxic ones go."""
     labelled = mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return mixing.draw(mixing.mix(docs, labelled), most=1).select(*docs.columns)
+    return mixing.draw(mixing.mix(docs, labelled, budget_share=BUDGET_SHARE), most=1).select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

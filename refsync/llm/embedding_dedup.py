@@ -13,7 +13,8 @@ united over all shards.
 
 Nulls: vectors that are null, empty, zero, of another length than most or hold null or non-finite components link with
 nothing; null ids are kept and link with nothing (component null). Repeated rows are vectors of their own: each
-counts the others. An empty table gives no rows. Other columns are not used.
+counts the others; rows of one id with different vectors are one node. An empty table gives no rows. Other columns are
+not used.
 """
 
 from __future__ import annotations
@@ -130,6 +131,8 @@ def _search(width: int, threshold: float):
                 if role[a] == _MEMBER:
                     members.append((node[a:b], copies[a:b], vectors[a:b]))
                     continue
+                if shard is None and not members:
+                    continue  # a shard without members
                 if role[a] == _AUDIT:
                     opened().audit(unit(vectors[a:b]))
                 for c in range(a, b, 4096):
