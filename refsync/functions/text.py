@@ -60,11 +60,11 @@ def parse_number(c: Column, data_type: str = "float", strip_commas: bool = False
 def as_change_text(c: Column, data_type: str) -> Column:
     """Value as it is written to the change log.
 
-    Floating point goes through a decimal so that 1e8 reads 100000000 instead of 1.0E8. Values that do not fit
-    the decimal (and NaN or infinity) keep Spark's own text.
+    Floating point goes through a decimal so that 1e8 reads 100000000 instead of 1.0E8. Values that the decimal does
+    not hold exactly (and NaN or infinity) keep Spark's own text, so different values have different texts.
     """
     if data_type in ("float", "double"):
         as_decimal = c.cast("double").try_cast("decimal(38,6)")
         plain = F.regexp_replace(as_decimal.cast("string"), r"\.?0+$", "")
-        return F.coalesce(plain, c.cast("string"))
+        return F.when(as_decimal.cast(data_type) == c, plain).otherwise(c.cast("string"))
     return c.cast("string")

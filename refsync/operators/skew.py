@@ -15,12 +15,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from refsync.sources.storage import stage
+
 # A key with more rows than this is spread over ceil(rows / ROWS_PER_SLICE) slices.
 ROWS_PER_SLICE = 1_000_000
 
-# At most this many keys are spread: the list goes through the driver and is broadcast, so its size must not grow
-# with the data. A key that is not among the heaviest MAX_HOT_KEYS holds less than 1/MAX_HOT_KEYS of the rows and
-# is joined like any other.
+# Up to so many heavy keys go through the driver and are broadcast; a longer list is written and joined like any table.
 MAX_HOT_KEYS = 1_000
 
 
@@ -30,6 +30,7 @@ class HotKeys:
 
     on: tuple[str, ...]
     table: DataFrame | None
+    few: bool = True  # the table may be broadcast
 
 
 def hot_keys(
@@ -49,14 +50,11 @@ def heaviest(
 ) -> HotKeys:
     """`hot_keys` for keys that are already counted."""
     slices = F.ceil(F.col(rows) / F.lit(rows_per_slice)).cast("int").alias("slices")
-    top = (
-        counts.filter(F.col(rows) > rows_per_slice)
-        .orderBy(F.col(rows).desc())
-        .limit(max_keys)
-        .select(*[F.col(f"`{k}`") for k in keys], slices)
-    )
-    found = top.collect()
-    return HotKeys(tuple(keys), counts.sparkSession.createDataFrame(found, top.schema) if found else None)
+    heavy = counts.filter(F.col(rows) > rows_per_slice).select(*[F.col(f"`{k}`") for k in keys], slices)
+    found = heavy.limit(max_keys + 1).collect()
+    if len(found) > max_keys:
+        return HotKeys(tuple(keys), stage(heavy, "heavy-keys"), few=False)
+    return HotKeys(tuple(keys), counts.sparkSession.createDataFrame(found, heavy.schema) if found else None)
 
 
 def keys_equal(
@@ -91,7 +89,8 @@ def _every_slice(slices: Column) -> Column:
 def _mark(df: DataFrame, keys: Sequence[str], hot: HotKeys, name: str) -> DataFrame:
     """Add the slice count of the row's key (1 for most keys); `keys` are the columns that play `hot.on`."""
     names = [f"__hot_key{i}" for i in range(len(keys))]
-    small = F.broadcast(hot.table.toDF(*names, name))  # at most MAX_HOT_KEYS rows
+    small = hot.table.toDF(*names, name)
+    small = F.broadcast(small) if hot.few else small  # one row per heavy key
     marked = df.join(small, keys_equal(df, small, keys, names, null_safe=True), "left").drop(*names)
     return marked.withColumn(name, F.coalesce(F.col(name), F.lit(1)))
 

@@ -178,14 +178,22 @@ def previous_values(
     return latest.select(*names, F.struct(*values).alias("__previous"))
 
 
+def values_differ(new: Column, old: Column, new_type: str, old_type: str) -> Column:
+    """Whether a field changed: typed values are compared as such, text with null and '' as the same value."""
+    if new_type == old_type and new_type != "string":
+        return ~new.eqNullSafe(old)
+    return F.coalesce(new.cast("string"), F.lit("")) != F.coalesce(old.cast("string"), F.lit(""))
+
+
 def change_entries(columns: Sequence[str], new_types: dict[str, str], old_types: dict[str, str]) -> Column:
-    """Array of (column, current, previous) for a row that carries `__previous`."""
+    """Array of (column, current, previous, differs) for a row that carries `__previous`."""
     return F.array(
         *[
             F.struct(
                 F.lit(c).alias("column"),
                 as_change_text(F.col(f"`{c}`"), new_types[c]).alias("current"),
                 as_change_text(F.col(f"__previous.`{c}`"), old_types[c]).alias("previous"),
+                values_differ(F.col(f"`{c}`"), F.col(f"__previous.`{c}`"), new_types[c], old_types[c]).alias("differs"),
             )
             for c in columns
         ]
@@ -204,8 +212,7 @@ def explode_changes(
     long = paired.select(
         *[F.col(f"`{c}`") for c in dict.fromkeys([*keys, version, *carry])], F.inline(entries)
     )
-    differs = F.coalesce("current", F.lit("")) != F.coalesce("previous", F.lit(""))
-    return long.filter(differs).select(
+    return long.filter("differs").select(
         *[F.col(f"`{c}`") for c in dict.fromkeys([*keys, version, *carry])],
         F.col("column").alias("Column"),
         F.col("current").alias("Current Value"),

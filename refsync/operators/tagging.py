@@ -62,13 +62,6 @@ def _existence(current, increments, keys, how, broadcast_keys, clean_increments,
     return found.select(*[F.col(f"`{c}`") for c in current.columns])
 
 
-def _differs(column: str, new_type: str, old_type: str) -> Column:
-    new, old = F.col(f"`{column}`"), F.col(f"__previous.`{column}`")
-    if new_type == old_type and new_type != "string":
-        return ~new.eqNullSafe(old)
-    return F.coalesce(new.cast("string"), F.lit("")) != F.coalesce(old.cast("string"), F.lit(""))
-
-
 def tag_increments(
     touched: DataFrame,
     increments: DataFrame,
@@ -78,13 +71,14 @@ def tag_increments(
     clean_increments: bool = False,
     tie_breakers: Sequence[str] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    gate: bool = True,
 ) -> DataFrame:
     """Increment rows with `status` and `__previous`, the values of the table's latest row of the key.
 
     status: 'excluded' (by `excluded`), 'stale', 'new', 'updated' or 'unchanged'. The newest version of a key and
     its latest row come from the same row, so one join serves the gate, the split into new and matched rows and
     the change log. `touched` is the table, or the part of it that shares keys with the increments.
-    `clean_increments` says that the increments went through `clean_strings`.
+    `clean_increments` says that the increments went through `clean_strings`. Without `gate` no row is stale.
     """
     columns = sync.compare_columns(increments, keys, version)
     types = dict(increments.dtypes)
@@ -101,8 +95,8 @@ def tag_increments(
     old_types = {f.name: f.dataType.simpleString() for f in paired.schema["__previous"].dataType.fields}
     changed = F.lit(False)
     for c in columns:
-        changed = changed | _differs(c, types[c], old_types[c])
-    newer = sync.is_newer(F.col(f"`{version}`"), F.col(f"__previous.`{version}`"))
+        changed = changed | sync.values_differ(F.col(f"`{c}`"), F.col(f"__previous.`{c}`"), types[c], old_types[c])
+    newer = sync.is_newer(F.col(f"`{version}`"), F.col(f"__previous.`{version}`")) if gate else F.lit(True)
     status = F.when(F.coalesce(excluded, F.lit(True)), "excluded") if excluded is not None else F.when(F.lit(False), "")
     status = (
         status.when(~newer, "stale").when(F.col("__previous").isNull(), "new").when(changed, "updated").otherwise("unchanged")

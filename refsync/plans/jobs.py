@@ -5,9 +5,11 @@ Hand-over between jobs is through tables on shared storage. Only file names and
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from refsync.operators import audit, checks, classify as classifying, clean, fee
 from refsync.operators.skew import ROWS_PER_SLICE
 from refsync.sources import audit_store, files, outputs, snapshots, storage
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class SyncResult:
@@ -31,6 +35,7 @@ class SyncResult:
     counts: dict[str, int]
     checks: dict
     seconds: float
+    waiting: int = 0  # files left for the next run
 
 
 def _excluded(df: DataFrame, spec: TableSpec):
@@ -66,24 +71,6 @@ def _issues(table: DataFrame, spec: TableSpec, permitted: DataFrame | None) -> D
     )
 
 
-def apply_increments(
-    current: DataFrame,
-    increments: DataFrame,
-    spec: TableSpec,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> tuple[DataFrame, DataFrame]:
-    """Typed increment rows against the table: (updated table, tagged increment rows). Lazy."""
-    keys, version = list(spec.keys), spec.version
-    clean.require_columns(current, keys)
-    clean.require_columns(increments, [*keys, version])
-    touched = tagging.touched_rows(current, increments, keys, rows_per_slice=rows_per_slice)
-    tagged = tagging.tag_increments(
-        touched, increments, keys, version, _excluded(increments, spec), rows_per_slice=rows_per_slice
-    )
-    winners = syncing.latest_wins(tagging.accepted_rows(tagged), keys, version).drop(*syncing.LINEAGE)
-    return _exclude(syncing.upsert(current, winners, keys, rows_per_slice), spec), tagged
-
-
 def sync_increment(
     spark: SparkSession,
     table_root: str,
@@ -94,16 +81,32 @@ def sync_increment(
     permitted: DataFrame | None = None,
     batch_id: str | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    file_states: Mapping[str, list] | None = None,
 ) -> SyncResult:
     """Apply cleaned increment rows (text, through `clean_strings`, with lineage columns) to the current snapshot.
 
     The typed increments are staged once, the tagged ones once; the table itself is read twice (rows that share
     a key, rows that do not) and written once. The manifest changes last: whatever fails before leaves the old
-    snapshot current, and a repeated run starts over.
+    snapshot current, and a repeated run starts over. If another writer commits meanwhile, this one fails. Without the
+    version column no row is held to be outdated, and the last row of a key wins.
     """
+    with storage.discard_staged(spark):
+        return _sync_increment(
+            spark, table_root, audit_root, increments, spec, file_names, permitted, batch_id, rows_per_slice, file_states
+        )
+
+
+def _sync_increment(
+    spark, table_root, audit_root, increments, spec, file_names, permitted, batch_id, rows_per_slice, file_states
+) -> SyncResult:
     started = time.monotonic()
     keys, version = list(spec.keys), spec.version
-    clean.require_columns(increments, [*keys, version])
+    clean.require_columns(increments, keys)
+    gate = version in increments.columns
+    if not gate:
+        log.warning("no column %s: outdated rows are not recognised", version)
+        increments = increments.withColumn(version, F.lit(None).cast("string"))
+    base = snapshots.sequence(spark, table_root)
     current = snapshots.read_snapshot(spark, table_root)
     clean.require_columns(current, keys)
 
@@ -111,7 +114,9 @@ def sync_increment(
     few = tagging.few_keys(typed.count(), current.count())  # both from Parquet footers
     touched = tagging.touched_rows(current, typed, keys, few, True, rows_per_slice)
     tagged = storage.stage(
-        tagging.tag_increments(touched, typed, keys, version, _excluded(typed, spec), True, rows_per_slice=rows_per_slice),
+        tagging.tag_increments(
+            touched, typed, keys, version, _excluded(typed, spec), True, rows_per_slice=rows_per_slice, gate=gate
+        ),
         "tagged",
     )
     accepted = tagging.accepted_rows(tagged)
@@ -133,6 +138,9 @@ def sync_increment(
         "table_duplicate_keys": checks.table_duplicate_keys(current, winners, keys),
         "issues": _issues(written, spec, permitted),
     }
+    tables["changes_by_column"] = syncing.changes_by_column(tables["field_changes"])
+    if file_states:
+        tables["source_files"] = audit_store.file_rows(spark, "increment", **file_states)
     if has_source:
         tables["per_file_summary"] = audit.per_file_summary(tagged, spec.source_file, version)
         tables["run_summary"] = audit.run_summary(tagged, spec.source_file)
@@ -144,7 +152,7 @@ def sync_increment(
         "duplicate_history": syncing.duplicate_history(repeated, clean_keys, version, spec.price),
     }
     paths |= audit_store.write_audit(summaries, audit_root, run_id)
-    row_count = snapshots.commit(spark, table_root, snapshot, batch_id, run_id)
+    row_count = snapshots.commit(spark, table_root, snapshot, batch_id, run_id, base)
 
     counts = {r["status"]: r["count"] for r in tagged.groupBy("status").count().collect()}
     found = checks.check_counts(spark.read.parquet(paths["issues"])).first().asDict()
@@ -176,17 +184,25 @@ def full_refresh(
     file_names: list[str] | None = None,
     permitted: DataFrame | None = None,
     dedup: bool = False,
+    file_states: Mapping[str, list] | None = None,
 ) -> SyncResult:
     """Replace the table by the rows of full files. The snapshot before stays as the backup."""
     started = time.monotonic()
+    base = snapshots.sequence(spark, table_root)
     table = _exclude(clean.enforce_schema(rows, spec.types), spec)
-    if dedup:
+    if dedup and spec.version in table.columns:
         table = syncing.latest_wins(table, list(spec.keys), spec.version)
+    elif dedup:
+        undated = table.withColumn(spec.version, F.lit(None).cast("date"))
+        table = syncing.latest_wins(undated, list(spec.keys), spec.version).drop(spec.version)
     snapshot = snapshots.write_data(table.drop(*syncing.LINEAGE), table_root)
     written = snapshots.read_snapshot(spark, table_root, snapshot)
     run_id = f"{snapshot:06d}-{uuid.uuid4().hex[:8]}"
-    paths = audit_store.write_audit({"issues": _issues(written, spec, permitted)}, audit_root, run_id)
-    row_count = snapshots.commit(spark, table_root, snapshot, None, run_id)
+    tables = {"issues": _issues(written, spec, permitted)}
+    if file_states:
+        tables["source_files"] = audit_store.file_rows(spark, "full", **file_states)
+    paths = audit_store.write_audit(tables, audit_root, run_id)
+    row_count = snapshots.commit(spark, table_root, snapshot, None, run_id, base)
     found = checks.check_counts(spark.read.parquet(paths["issues"])).first().asDict()
     seconds = time.monotonic() - started
     audit_store.record_run(
@@ -215,40 +231,51 @@ def sync(
 ) -> SyncResult | None:
     """Full files if there are new ones, else the oldest increments that were not applied yet, else nothing."""
 
-    def names(paths: list[str]) -> list[str]:
-        return [p.rsplit("/", 1)[-1] for p in paths]
+    options = {"on_error": settings.on_error, "on_bad_rows": settings.on_bad_rows, "multi_line": settings.multi_line}
+
+    def states(found: files.Files) -> dict[str, list]:
+        unreadable = [{"path": p, "name": p.rsplit("/", 1)[-1], "modified": None, "length": None} for p in found.unreadable]
+        return {"applied": found.chosen, "superseded": found.superseded, "unreadable": unreadable}
+
+    def names(found: files.Files) -> list[str]:
+        return [f["name"] for f in found.chosen]
 
-    history = audit_store.runs(spark, audit_root).filter(F.col("kind") == "full")
-    done = history.select(F.explode("files").alias("file"))
-    full = files.read_increments(
+    done = audit_store.applied_files(spark, table_root, audit_root)
+    found = files.read_increments(
         spark,
         folder,
         settings.file_format,
         settings.full_glob,
         newest_only=settings.keep_only_latest_full,
         applied=done,
+        **options,
     )
-    if full.rows is not None:
+    if found.rows is not None:
         result = full_refresh(
-            spark, table_root, audit_root, full.rows, spec, names(full.paths), permitted, settings.full_refresh_dedup
+            spark, table_root, audit_root, found.rows, spec, names(found), permitted, settings.full_refresh_dedup, states(found)
         )
     else:
-        increments = files.read_increments(
+        found = files.read_increments(
             spark,
             folder,
             settings.file_format,
             settings.increment_glob,
             exclude_glob=settings.full_glob,
             max_files=settings.max_files,
-            applied=audit_store.applied_files(spark, audit_root),
+            applied=done,
+            **options,
         )
-        if increments.rows is None:
+        if found.rows is None:
             return None
         result = sync_increment(
-            spark, table_root, audit_root, increments.rows, spec, names(increments.paths), permitted
+            spark, table_root, audit_root, found.rows, spec, names(found), permitted, file_states=states(found)
         )
+    if found.waiting:
+        log.info("%s files wait for the next run", found.waiting)
+    if settings.archive_folder:
+        storage.archive_files(spark, [f["path"] for f in [*found.chosen, *found.superseded]], settings.archive_folder)
     snapshots.expire_snapshots(spark, table_root, settings.retention_days)
-    return result
+    return replace(result, waiting=found.waiting)
 
 
 def report(spark: SparkSession, audit_root: str, result: SyncResult) -> str:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refsync.operators import clean
 from refsync.sources.storage import list_files
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Files:
@@ -20,6 +24,9 @@ class Files:
     rows: DataFrame | None
     paths: list[str]
     unreadable: list[str] = field(default_factory=list)
+    chosen: list[Row] = field(default_factory=list)  # path, name, modified, length of the files to apply
+    superseded: list[Row] = field(default_factory=list)  # older files that a newer one replaces
+    waiting: int = 0  # files left for the next run
 
 
 def file_name() -> Column:
@@ -80,22 +87,55 @@ def with_row_index(
     )
 
 
-def _reader(spark: SparkSession, file_format: str):
+BAD_ROW = "__bad_row"
+
+
+def _reader(spark: SparkSession, file_format: str, multi_line: bool = False):
     reader = spark.read.format(file_format)
     if file_format == "csv":
-        return reader.option("header", "true")
+        return reader.option("header", "true").option("multiLine", str(multi_line).lower()).option("columnNameOfCorruptRecord", BAD_ROW)
     if file_format == "json":
         return reader.option("primitivesAsString", "true")
     return reader
 
 
+def _parsed(spark: SparkSession, file_format: str, schema: T.StructType, paths: Sequence[str], multi_line: bool) -> DataFrame:
+    """Rows of files with one header; in CSV, `__bad_row` holds the text of rows that do not fit it."""
+    if file_format == "csv":
+        schema = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
+    return _reader(spark, file_format, multi_line).schema(schema).load(list(paths))
+
+
+def _is_bad(schema: T.StructType) -> Column:
+    """Whether a CSV row does not fit its header. It reads all columns: with some of them pruned away, Spark's parser
+    would not see that a row has too many.
+    """
+    every = F.xxhash64(*[F.col(f"`{f.name}`") for f in schema.fields]) < F.lit(-(1 << 63))  # never
+    return F.col(BAD_ROW).isNotNull() | every
+
+
 def _read_group(
-    spark: SparkSession, file_format: str, schema: T.StructType, paths: Sequence[str], source: str, stem: bool, index: str
+    spark: SparkSession,
+    file_format: str,
+    schema: T.StructType,
+    paths: Sequence[str],
+    source: str,
+    stem: bool,
+    index: str,
+    on_bad_rows: str,
+    multi_line: bool,
 ) -> DataFrame:
-    rows = _reader(spark, file_format).schema(schema).load(list(paths))
+    rows = _parsed(spark, file_format, schema, paths, multi_line)
     bound = None if file_format == "parquet" else block_bound(spark, paths)
     few_blocks = bound is not None and bound <= MAX_BROADCAST_BLOCKS
     rows = with_row_index(with_source_file(rows, source, stem), file_format, index, few_blocks)
+    if file_format == "csv":
+        bad = _is_bad(schema)
+        if on_bad_rows == "fail":
+            message = F.concat(F.lit("row that does not fit its header in "), source, F.lit(": "), F.substring(BAD_ROW, 1, 200))
+            rows = rows.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        else:
+            rows = rows.filter(~bad)
     text = [
         F.col(f"`{f.name}`").cast("string").alias(f.name)
         if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
@@ -105,7 +145,17 @@ def _read_group(
     return rows.select(*text, source, index)
 
 
-def select_files(
+def quarantined_rows(spark: SparkSession, paths: Sequence[str], source: str = "source_file", multi_line: bool = False) -> DataFrame:
+    """(file name, text) of the CSV rows that do not fit the header of their file."""
+    found = None
+    for schema, members in _by_header(spark, paths, "csv", "fail")[0]:
+        rows = with_source_file(_parsed(spark, "csv", schema, members, multi_line), source)
+        own = rows.filter(_is_bad(schema)).select(source, F.col(BAD_ROW).alias("text"))
+        found = own if found is None else found.union(own)
+    return found if found is not None else spark.createDataFrame([], f"`{source}` string, text string")
+
+
+def choose_files(
     spark: SparkSession,
     path: str,
     glob: str | None = None,
@@ -114,19 +164,60 @@ def select_files(
     max_files: int | None = None,
     newest_only: bool = False,
     applied: DataFrame | None = None,
-) -> list[str]:
-    """Paths to read in this run, in name order: not yet applied ones, at most `max_files`; the rest waits.
+) -> Files:
+    """The files to read in this run (without rows), those that wait, and those that a newer one supersedes.
 
-    `applied` has a column `file` with the names of the files that were applied before.
+    A file is the same as before only if path, time of modification and length are: `applied` has these columns. Names
+    may be used again. With `newest_only`, the file modified last counts, whether it was applied before or not; the
+    others are superseded. Otherwise at most `max_files` are taken, in name order.
     """
+    same = ["path", "modified", "length"]
     files = list_files(spark, path, glob, exclude_glob, recursive)
-    if applied is not None:
-        files = files.join(applied.select(F.col("file").alias("name")).distinct(), "name", "left_anti")
-    files = files.orderBy(F.col("name").desc() if newest_only else F.col("name").asc(), "path")
-    limit = 1 if newest_only else max_files
-    if limit:
-        files = files.limit(limit)
-    return [row["path"] for row in files.select("path").collect()]
+    fresh = files.join(applied.select(*same).distinct(), same, "left_anti") if applied is not None else files
+    fresh = fresh.orderBy("name", "path").collect() if newest_only or not max_files else fresh.orderBy("name", "path").limit(max_files + 1).collect()
+    if newest_only:
+        newest = files.orderBy(F.desc("modified"), F.desc("name"), "path").first()
+        chosen = [f for f in fresh if newest is not None and f["path"] == newest["path"]]
+        return Files(None, [f["path"] for f in chosen], chosen=chosen, superseded=[f for f in fresh if f not in chosen])
+    if not max_files or len(fresh) <= max_files:
+        return Files(None, [f["path"] for f in fresh], chosen=fresh)
+    left = files.join(applied.select(*same).distinct(), same, "left_anti") if applied is not None else files
+    chosen = fresh[:max_files]
+    return Files(None, [f["path"] for f in chosen], chosen=chosen, waiting=left.count() - max_files)
+
+
+def select_files(
+    spark: SparkSession,
+    path: str,
+    glob: str | None = None,
+    exclude_glob: str | None = None,
+    recursive: bool = False,
+    max_files: int | None = None,
+    newest_only: bool = False,
+    applied: DataFrame | None = None,
+) -> list[str]:
+    """Paths of `choose_files`."""
+    return choose_files(spark, path, glob, exclude_glob, recursive, max_files, newest_only, applied).paths
+
+
+def _by_header(
+    spark: SparkSession, paths: Sequence[str], file_format: str, on_error: str
+) -> tuple[list[tuple[T.StructType, list[str]]], list[str]]:
+    """(files with the same header together, unreadable files)."""
+    groups: dict[tuple, tuple[T.StructType, list[str]]] = {}
+    unreadable = []
+    for path in paths:
+        try:
+            schema = _reader(spark, file_format).load(path).schema
+        except Exception as error:
+            if on_error != "skip":
+                raise
+            log.warning("left out %s: %s", path, error)
+            unreadable.append(path)
+            continue
+        key = tuple((f.name, f.dataType.simpleString()) for f in schema.fields)
+        groups.setdefault(key, (schema, []))[1].append(path)
+    return list(groups.values()), unreadable
 
 
 def read_files(
@@ -138,28 +229,24 @@ def read_files(
     stem: bool = False,
     same_columns: bool = False,
     on_error: str = "fail",
+    on_bad_rows: str = "fail",
+    multi_line: bool = False,
 ) -> Files:
     """Read files as text and unite them by column name; a column a file lacks is null.
 
     Files with the same header are read together. (One read over files with different headers would take the
     columns by position.) `same_columns=True` demands one header. `on_error='skip'` leaves out files whose header
-    cannot be read and lists them.
+    cannot be read and lists them. CSV rows that do not fit their header stop the run, or with
+    `on_bad_rows='quarantine'` are left out (`quarantined_rows` shows them). `multi_line` allows quoted line breaks.
     """
-    groups: dict[tuple, tuple[T.StructType, list[str]]] = {}
-    unreadable = []
-    for path in paths:
-        try:
-            schema = _reader(spark, file_format).load(path).schema
-        except Exception:
-            if on_error != "skip":
-                raise
-            unreadable.append(path)
-            continue
-        key = tuple((f.name, f.dataType.simpleString()) for f in schema.fields)
-        groups.setdefault(key, (schema, []))[1].append(path)
+    if file_format == "json" and not same_columns and on_error != "skip" and paths:
+        groups, unreadable = [(_reader(spark, file_format).load(list(paths)).schema, list(paths))], []  # read by name
+    else:
+        groups, unreadable = _by_header(spark, paths, file_format, on_error)
     rows = None
-    for schema, members in groups.values():
-        part = clean.clean_headers(_read_group(spark, file_format, schema, members, source, stem, index))
+    for schema, members in groups:
+        group = _read_group(spark, file_format, schema, members, source, stem, index, on_bad_rows, multi_line)
+        part = clean.clean_headers(group)
         if rows is None:
             rows = part
         elif same_columns:
@@ -182,13 +269,15 @@ def read_increments(
     newest_only: bool = False,
     applied: DataFrame | None = None,
     on_error: str = "fail",
+    on_bad_rows: str = "fail",
+    multi_line: bool = False,
 ) -> Files:
     """Select the increment (or full) files of a folder and read them, text trimmed and blanks null."""
-    paths = select_files(spark, path, glob, exclude_glob, recursive, max_files, newest_only, applied)
-    files = read_files(spark, paths, file_format, on_error=on_error)
-    if files.rows is None:
-        return files
-    return Files(clean.clean_strings(files.rows), files.paths, files.unreadable)
+    chosen = choose_files(spark, path, glob, exclude_glob, recursive, max_files, newest_only, applied)
+    read = read_files(spark, chosen.paths, file_format, on_error=on_error, on_bad_rows=on_bad_rows, multi_line=multi_line)
+    rows = None if read.rows is None else clean.clean_strings(read.rows)
+    taken = [f for f in chosen.chosen if f["path"] not in read.unreadable]
+    return Files(rows, read.paths, read.unreadable, taken, chosen.superseded, chosen.waiting)
 
 
 def read_daily(
@@ -216,8 +305,9 @@ def read_reference(spark: SparkSession, path: str, columns: Sequence[str], file_
     try:
         table = _reader(spark, file_format).load(path)
         clean.require_columns(table, columns)
-    except Exception:
+    except (AnalysisException, ValueError) as error:  # missing, no rows to take a schema from, or without a column
         if optional:
+            log.warning("went on without %s: %s", path, error)
             return None
         raise
     return table.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])

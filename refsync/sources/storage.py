@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from datetime import datetime, timedelta, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
+_opened: ContextVar[list[str] | None] = ContextVar("staged tables of the block", default=None)
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -43,9 +47,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
+    if (opened := _opened.get()) is not None:
+        opened.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def discard_staged(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that `stage` writes inside the block when it ends well. After a failure they stay for the
+    clean-up of the work folder: a table that is still read must not vanish.
+    """
+    token = _opened.set([])
+    try:
+        yield
+        for path in _opened.get():
+            delete(spark, path)
+    finally:
+        _opened.reset(token)
+
+
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
@@ -88,6 +108,32 @@ def list_files(
     return files
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file; FileExistsError if the path is taken, so of two writers one wins."""
+    file_system, target = _file_system(spark, path)
+    file_system.mkdirs(target.getParent())
+    if file_system.exists(target):
+        raise FileExistsError(path)
+    try:
+        out = file_system.create(target, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName() or "already exists" in str(error.java_exception):
+            raise FileExistsError(path) from error
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files of a folder; empty if there is no such folder."""
+    file_system, target = _file_system(spark, folder)
+    if not file_system.exists(target):
+        return []
+    return [status.getPath().getName() for status in file_system.listStatus(target)]
+
+
 def archive_files(spark: SparkSession, paths: Sequence[str], folder: str) -> list[str]:
     """Move processed files to a folder; a name that is taken gets a time stamp."""
     moved = []

@@ -220,3 +220,20 @@ def test_samples_and_report(spark):
     )
     assert "| Changes | New Rows | 1,234 |" in text and "issues found" in text and "| f1 | 3 |  |" in text
     assert "No changes" in audit.render_markdown([], [], {"has_issues": False}, 1)
+
+
+def test_every_updated_row_is_in_the_change_log(spark):
+    """Small and large numbers, null against a value: what is tagged as updated is logged, and nothing else."""
+    values = [1e-7, 4e-7, 0.1, 0.1 + 1e-12, 1e8, 1e8 + 1e-6, 1e40, None, float("nan"), 0.0, -0.0, 123456.25]
+    pairs = [(i * 100 + j, a, b) for i, a in enumerate(values) for j, b in enumerate(values)]
+    table = spark.createDataFrame([(k, date(2025, 1, 1), a, str(a)) for k, a, _ in pairs], "k int, day date, price double, note string")
+    rows = spark.createDataFrame([(k, date(2025, 1, 2), b, str(b)) for k, _, b in pairs], "k int, day date, price double, note string")
+    tagged = tagging.tag_increments(table.drop("note"), rows.drop("note"), ["k"], "day")
+    updated = {r["k"] for r in tagged.filter("status = 'updated'").collect()}
+    log = tagging.tagged_changes(tagged, ["k"], "day").collect()
+    same = lambda a, b: a == b or (a is not None and b is not None and a != a and b != b)
+    assert updated == {k for k, a, b in pairs if not same(a, b)} == {r["k"] for r in log}
+    assert all(r["Current Value"] != r["Previous Value"] for r in log)
+    direct = sync.field_changes(table.drop("note"), rows.drop("note"), ["k"], "day").collect()
+    assert {r["k"] for r in direct} == updated
+    assert {r["Current Value"] for r in log if r["k"] % 100 == 4} == {"100000000"}
