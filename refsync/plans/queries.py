@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refsync.config import TableSpec
+from refsync.config import SyncSettings, TableSpec
 from refsync.functions import keys as key_functions
 from refsync.functions import text
 from refsync.operators import audit, checks, classify, clean, feed, sync, tagging
@@ -1190,3 +1190,40 @@ def classify_export_job(spark, sf_dir):
     jobs.classify_to_snapshot(_integrated(spark, sf_dir), classified)
     path = jobs.export(spark, classified, storage.new_path(spark, "exports"))
     return classify.bucket_counts(spark.read.parquet(path))
+
+
+@query("sync_folder_job", SQL["sync_job"])
+def sync_folder_job(spark, sf_dir):
+    """The increments of `sync_job` dropped as CSV files and synced from their folder, a second run finds nothing new."""
+    spec, settings = TableSpec(), SyncSettings(increment_glob="*.csv", full_glob="none*", max_files=None)
+    folder, root, audit_root = (storage.new_path(spark, label) for label in ("drop", "table", "audit"))
+    snapshots.write_snapshot(_start_table(spark, sf_dir, spec), root)
+    increments = t.contract_increments(spark, sf_dir).drop(*sync.LINEAGE)
+    increments.repartition(3).write.option("header", "true").option("escape", '"').csv(folder)
+    jobs.sync(spark, folder, root, audit_root, spec, settings)
+    if jobs.sync(spark, folder, root, audit_root, spec, settings) is not None:
+        raise ValueError("files were applied twice")
+    names = ["item", "account", "vendor", "centre", "gl"]
+    table = snapshots.read_snapshot(spark, root).select(
+        *[F.coalesce(F.col(f"`{k}`"), F.lit("")).alias(n) for k, n in zip(spec.keys, names)],
+        F.col(f"`{spec.version}`").alias("updated"),
+    )
+    return table.groupBy(*names).agg(F.max("updated").alias("updated"), F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "small_changes",
+    """SELECT 'price' AS "Column", count(*) AS count FROM orders WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT 'share', count(*) FROM orders WHERE o_orderkey % 2 = 0""",
+)
+def small_changes(spark, sf_dir):
+    """Changes far below a cent are logged like any other, equal values are not."""
+    keyed = t.load(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"), F.col("o_totalprice").cast("double").alias("price"))
+    old = keyed.withColumn("share", F.lit(1e-7))
+    new = keyed.select(
+        "o_orderkey",
+        F.date_add("day", 1).alias("day"),
+        (F.col("price") + F.when(F.col("o_orderkey") % 3 != 0, 3e-8).otherwise(0.0)).alias("price"),
+        F.when(F.col("o_orderkey") % 2 == 0, 4e-7).otherwise(1e-7).alias("share"),
+    )
+    return sync.changes_by_column(sync.field_changes(old, new, ["o_orderkey"], "day"))
