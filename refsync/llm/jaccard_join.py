@@ -12,7 +12,8 @@ Sets that share a key are candidates. Equal sets are one node from the start. A
 pairs: in `STAR_ROUNDS` rounds each key's sets are compared with one of them only, and what is linked becomes one
 component; in the last round the sets of a key that are still in different components are compared with each other.
 Links inside a component do not change it, so components are exact. Before its shingles are compared, a pair must pass
-an exact bound: parities of the shingles' hashes in 512 bins differ in no more places than the sets differ.
+an exact bound: parities of the shingles' hashes in bins (256, more for large sets) differ in no more places than the
+sets differ.
 
 Definitions: words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. A set with fewer than k words holds its whole word
 sequence; without words it is empty and linked with nothing, as are null texts. Two documents link when
@@ -35,10 +36,11 @@ from refsync.llm import textops
 from refsync.llm.components import connected_components
 from refsync.sources.storage import stage
 
-PARITY_BINS = 512
+PARITY_BINS = 256
 STAR_ROUNDS = 2
 BROADCAST_IDS = 1_000_000
 SLICE_TEXTS = 4096
+PAIR_COST = 0.005
 #: Scrambles the order of nodes, so that each star round has other centers.
 ROUND_MASKS = (0, 0x5DEECE66D1234567, 0x2545F4914F6CDD1D)
 
@@ -71,7 +73,8 @@ def allocate(most_different: int, size: int, documents: int) -> tuple[int, int]:
     """(segments in all, of which with one-deletion neighbourhoods) of least cost for a band.
 
     A segment costs a row per document; with deletions, a row more per shingle in it. Two unrelated sets agree in a
-    segment mostly when both have nothing there, so with a chance of about exp(-2 * shingles per segment).
+    segment mostly when both have nothing there, so with a chance of about exp(-2 * shingles per segment). To compare two
+    sets that share a key costs little next to a row of the index: `PAIR_COST` of it.
     """
     best = None
     for deletions in range((most_different + 1) // 2 + 1):
@@ -79,8 +82,9 @@ def allocate(most_different: int, size: int, documents: int) -> tuple[int, int]:
         mean = size / segments
         rows = documents * (segments + deletions * mean)
         chance = documents * documents * segments * math.exp(-2 * mean)
-        if best is None or rows + chance < best[0]:
-            best = rows + chance, segments, deletions
+        cost = rows + PAIR_COST * chance
+        if best is None or cost < best[0]:
+            best = cost, segments, deletions
     return best[1], best[2]
 
 
@@ -125,24 +129,44 @@ def _sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.nd
             yield a, b, *textops.distinct(*textops.shingles(found.hashes, found.offsets, k))
 
 
-def _signature(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two order-free 64-bit sums of each set, and its parity bins as eight 64-bit words."""
+def _signature(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two order-free 64-bit sums of each set."""
     first = textops.sum_by_text(textops.mix(hashes ^ np.uint64(0x1234567)), offsets)
-    second = textops.sum_by_text(textops.mix(hashes ^ np.uint64(0x89ABCDEF01)), offsets)
-    n = len(offsets) - 1
-    bins = np.repeat(np.arange(n), np.diff(offsets)) * PARITY_BINS + (textops.mix(hashes) & np.uint64(PARITY_BINS - 1)).astype(np.int64)
-    odd = (np.bincount(bins, minlength=n * PARITY_BINS) & 1).astype(np.uint8)
-    return first, second, np.packbits(odd).view(np.uint64)
+    return first, textops.sum_by_text(textops.mix(hashes ^ np.uint64(0x89ABCDEF01)), offsets)
+
+
+def _parity(hashes: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Parity bins of each set as 64-bit words: `PARITY_BINS`, or for large sets the power of two from 2/3 of its size on;
+    and folded to half as many bins (empty for small sets), for partners of the next lower power."""
+    sizes = np.diff(offsets)
+    bins = np.maximum(PARITY_BINS, 1 << np.ceil(np.log2(np.maximum(sizes, 1) / 1.5)).clip(0).astype(int))
+    words, halves = bins // 64, np.where(bins > PARITY_BINS, bins // 128, 0)
+    ends, half_ends = np.concatenate([[0], np.cumsum(words)]), np.concatenate([[0], np.cumsum(halves)])
+    flat, half_flat = np.zeros(ends[-1], np.uint64), np.zeros(half_ends[-1], np.uint64)
+    mixed, owner = textops.mix(hashes), np.repeat(np.arange(len(sizes)), sizes)
+    for level in np.unique(bins):
+        own = np.flatnonzero(bins == level)
+        place = np.full(len(sizes), -1)
+        place[own] = np.arange(len(own))
+        inside = place[owner] >= 0
+        at = place[owner[inside]] * level + (mixed[inside] & np.uint64(level - 1)).astype(np.int64)
+        odd = (np.bincount(at, minlength=len(own) * level) & 1).astype(np.uint8)
+        table = np.packbits(odd).view(np.uint64).reshape(len(own), level // 64)
+        flat[(ends[own][:, None] + np.arange(level // 64)).ravel()] = table.ravel()
+        if level > PARITY_BINS:
+            half = level // 128
+            half_flat[(half_ends[own][:, None] + np.arange(half)).ravel()] = (table[:, :half] ^ table[:, half:]).ravel()
+    return _lists(flat, ends), _lists(half_flat, half_ends)
 
 
 def _describe(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, hashes, offsets in _sets(batch.column(1), k):
-                first, second, parity = _signature(hashes, offsets)
+                first, second = _signature(hashes, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), _signed(first), _signed(second), _lists(parity, np.arange(b - a + 1) * (PARITY_BINS // 64))],
-                    ["doc_id", "n_shingles", "s1", "s2", "parity"],
+                    [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), _signed(first), _signed(second), *_parity(hashes, offsets)],
+                    ["doc_id", "n_shingles", "s1", "s2", "parity", "half"],
                 )
 
     return run
@@ -174,9 +198,21 @@ def _shingle_sets(k: int) -> Callable:
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
-    """Exact bound: sets that cannot link are out. Columns n and parity of both sides have these prefixes."""
+    """Exact bound: sets that cannot link are out. Columns n, parity and half of both sides have these prefixes."""
     sizes = F.col(f"{a}n") + F.col(f"{b}n")
-    differ = sum((F.bit_count(F.col(f"{a}parity")[i].bitwiseXOR(F.col(f"{b}parity")[i])) for i in range(1, PARITY_BINS // 64)), F.bit_count(F.col(f"{a}parity")[0].bitwiseXOR(F.col(f"{b}parity")[0])))
+    one, other, one_half, other_half = (F.col(c) for c in (f"{a}parity", f"{b}parity", f"{a}half", f"{b}half"))
+    few = PARITY_BINS // 64
+    small = F.bit_count(one[0].bitwiseXOR(other[0]))
+    for i in range(1, few):
+        small = small + F.bit_count(one[i].bitwiseXOR(other[i]))
+    far = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, n: t + n)
+    differ = (
+        F.when((F.size(one) == few) & (F.size(other) == few), small)
+        .when(F.size(one) == F.size(other), far(one, other))
+        .when(F.size(one_half) == F.size(other), far(one_half, other))
+        .when(F.size(one) == F.size(other_half), far(one, other_half))
+        .otherwise(F.lit(0))
+    )
     near = F.greatest(f"{a}n", f"{b}n") * percent <= F.least(f"{a}n", f"{b}n") * 100
     return near & (differ * (100 + percent) <= sizes * (100 - percent))
 
@@ -202,10 +238,10 @@ def _small(table: DataFrame, rows: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of `docs`."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    sets = stage(docs.mapInArrow(_describe(k), "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, parity array<bigint>"), "jaccard-sets")
+    sets = stage(docs.mapInArrow(_describe(k), "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, parity array<bigint>, half array<bigint>"), "jaccard-sets")
     same = ["s1", "s2", "n_shingles"]
     nodes = stage(sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("node")), "jaccard-nodes")
-    placed = stage(sets.join(nodes, same, "left").select("doc_id", F.col("n_shingles").alias("n"), "parity", "node"), "jaccard-placed")
+    placed = stage(sets.join(nodes, same, "left").select("doc_id", F.col("n_shingles").alias("n"), "parity", "half", "node"), "jaccard-placed")
     # documents whose text stands for its set are indexed, copies are not
     stands = F.max(F.col("doc_id") == F.col("node"))
     copies = stage(placed.filter("node IS NOT NULL").groupBy("doc_id").agg(stands.alias("stands")).filter("NOT stands").select("doc_id"), "jaccard-copies")
@@ -213,15 +249,15 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     keys = chosen.mapInArrow(_index(k, *_plan(sets, percent)), "node bigint, keys array<bigint>").select("node", F.explode("keys").alias("key"))
     shared = stage(keys.groupBy("key").count().filter("count > 1").select("key"), "jaccard-shared")
     members = stage(keys.join(_small(shared, BROADCAST_IDS), "key"), "jaccard-keys")
-    candidates = stage(members.select("node").distinct(), "jaccard-candidates")
-    info = placed.filter("doc_id = node").select("node", "n", "parity")
-    members = stage(members.join(info, "node"), "jaccard-members")
-    wanted = _small(candidates.withColumnRenamed("node", "doc_id"), BROADCAST_IDS)
-    shingle_sets = stage(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(k), "node bigint, shingles array<bigint>"), "jaccard-shingles")
+    info = placed.filter("doc_id = node").select("node", "n", "parity", "half")
+    side = lambda c: info.select(*[F.col(x).alias(c if x == "node" else f"{c}_{x}") for x in info.columns])
 
     def verified(pairs: DataFrame) -> DataFrame:
-        side = lambda c: shingle_sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        named = stage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "jaccard-ends")
+        wanted = docs.join(_small(named, BROADCAST_IDS), "doc_id", "left_semi").select("doc_id", "text")
+        shingle_sets = stage(wanted.mapInArrow(_shingle_sets(k), "node bigint, shingles array<bigint>"), "jaccard-shingles")
+        whole = lambda c: shingle_sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
+        both = pairs.join(whole("a"), "a").join(whole("b"), "b")
         shared = F.size(F.array_intersect("a_set", "b_set"))
         linked = shared * 100 >= (F.size("a_set") + F.size("b_set") - shared) * percent
         return stage(both.filter(linked).select("a", "b"), "jaccard-links")
@@ -233,16 +269,20 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
             found = connected_components(links)
             labelled = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if mask is not None:
-            own = F.struct(F.col("node").bitwiseXOR(F.lit(mask)).alias("order"), "node", "n", "parity", "component")
-            groups = labelled.groupBy("key").agg(F.min(own).alias("c"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-            centers = groups.select("key", *[F.col(f"c.{x}").alias(f"c_{x}") for x in ("node", "n", "parity", "component")])
-            near = labelled.join(stage(centers, "jaccard-centers"), "key").filter(F.col("component") != F.col("c_component")).filter(_possible("", "c_", percent))
+            order = F.col("node").bitwiseXOR(F.lit(mask))
+            ends = (F.min("component").alias("low"), F.max("component").alias("high"))
+            groups = labelled.groupBy("key").agg(F.min(order).bitwiseXOR(F.lit(mask)).alias("c"), F.min_by("component", order).alias("c_component"), *ends)
+            centers = stage(groups.filter("low < high").drop("low", "high"), "jaccard-centers")
+            near = labelled.join(centers, "key").filter("component <> c_component")
+            near = near.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+            pairs = near.join(side("a"), "a").join(side("b"), "b").filter(_possible("a_", "b_", percent)).select("a", "b")
         else:
             groups = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-            rest = stage(labelled.join(stage(groups.select("key"), "jaccard-open"), "key"), "jaccard-rest")
-            other = rest.select("key", *[F.col(x).alias(f"c_{x}") for x in ("node", "n", "parity", "component")])
-            near = rest.join(other, (rest["key"] == other["key"]) & (F.col("component") < F.col("c_component")) & _possible("", "c_", percent))
-        pairs = near.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct()
+            rest = labelled.join(stage(groups.select("key"), "jaccard-open"), "key").join(info, "node")
+            rest = stage(rest.select("key", *[F.col(x).alias(f"a_{x}") for x in (*info.columns, "component")]), "jaccard-rest")
+            other = rest.toDF("key", *[c.replace("a_", "b_", 1) for c in rest.columns[1:]])
+            near = rest.join(other, (rest["key"] == other["key"]) & (F.col("a_component") < F.col("b_component")) & _possible("a_", "b_", percent))
+            pairs = near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "jaccard-pairs")
