@@ -74,6 +74,8 @@ def train(docs: DataFrame, labelled: DataFrame, domains: int, sample_rows: int =
     for own in table:
         whole = math.log(sum(own))
         own[:] = [math.log(x) - whole for x in own]
+    first = next((k for k in range(domains) if rows.get(k)), 0)
+    table = [own if rows.get(k) else list(table[first]) for k, own in enumerate(table)]  # the unknown have no words of their own
     known = sum(rows.values())
     prior = [math.log(rows[k] / known) if rows.get(k) else (-50.0 if known else 0.0) for k in range(domains)]
     return prior, table
