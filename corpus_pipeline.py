@@ -48,7 +48,9 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by the rates that meet the target weights, each at most once: good ones stay, toxic ones go."""
     labelled = mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return mixing.draw(mixing.mix(docs, labelled, budget_share=BUDGET_SHARE), most=1).select(*docs.columns)
+    own = {c: f"__own{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}  # no clash with new columns
+    mixed = mixing.mix(docs.withColumnsRenamed(own), labelled, budget_share=BUDGET_SHARE)
+    return mixing.draw(mixed, most=1).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
