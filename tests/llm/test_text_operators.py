@@ -254,6 +254,25 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeated_passages(frame.limit(0)).count() == 0
 
 
+def test_passages_of_repeated_words_and_lines(spark):
+    rng = random.Random(12)
+    line, lead = invented(rng, 23, 10**6), invented(rng, 17, 10**6)
+    passage = invented(rng, 60, 10**6)
+    docs = [(1, "For " * 4000), (2, "for " * 3000), (3, f"{lead} " + f"{line} " * 120), (4, f"{line} " * 90), (5, f"{line} " * 130)]
+    docs += [(6, passage), (7, f"{passage} {lead[:40]} {passage}")]
+    found = substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    texts = {d: words_of(t) for d, t in docs}
+    covered: dict[tuple, set] = {}
+    for r in found:
+        own, others = texts[r["doc_id"]][r["start_word"] : r["end_word"]], texts[r["other_id"]][r["other_start"] : r["other_end"]]
+        assert r["identity"] < 1 or own == others
+        covered.setdefault((r["doc_id"], r["other_id"]), set()).update(range(r["start_word"], r["end_word"]))
+    assert len(covered[2, 1]) >= 2950 and len(covered[4, 3]) >= 23 * 90 - 23
+    assert len(covered[5, 3] | covered.get((5, 4), set())) >= 23 * 120 - 23
+    assert len(covered[7, 6]) == 120
+    assert len(found) < 20
+
+
 def test_passages_of_the_sample_are_found(spark):
     """Every exact run of 60 words that two documents share lies in a reported passage of the later one."""
     sf_dir = "/root/testdata/sf0.001"
