@@ -273,6 +273,17 @@ def test_passages_of_repeated_words_and_lines(spark):
     assert len(found) < 20
 
 
+def test_passages_whose_parts_occurred_in_different_documents(spark):
+    rng = random.Random(13)
+    fresh = lambda n: invented(rng, n, 10**6)
+    passage = fresh(80).split(" ")
+    part = lambda a, b: " ".join(passage[a:b])
+    docs = [(1, f"{fresh(30)} {part(0, 40)} {fresh(9)}"), (2, f"{part(40, 80)} {fresh(20)}"), (3, f"{fresh(7)} {part(22, 57)}")]
+    docs += [(100, f"{fresh(60)} {part(0, 80)} {fresh(3)}"), (200, f"{fresh(11)} {part(0, 80)} {fresh(50)}"), (300, part(0, 80))]
+    found = substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["other_id"], r["n_words"], r["identity"], r["start_word"]) for r in found) == [(200, 100, 80, 1, 11), (300, 100, 80, 1, 0)]
+
+
 def test_passages_of_the_sample_are_found(spark):
     """Every exact run of 60 words that two documents share lies in a reported passage of the later one."""
     sf_dir = "/root/testdata/sf0.001"
