@@ -6,7 +6,7 @@ pass through all stages, extra columns are carried along.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from refsync.llm import decontaminate, jaccard_join, language_id, mixing, sharding
@@ -29,15 +29,29 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts: the one with the smallest id. Of a repeated id one row stays."""
-    found = jaccard_join.jaccard_components(docs, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
-    found = stage(found.select("doc_id", "component_id"), "pipeline-components")
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = stage(found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-repeated")
-    if repeated.isEmpty():
-        return kept
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    """One document of each group of similar texts: the one with the smallest id.
+
+    Texts that share an id are documents of their own: they are told apart by a 64-bit hash of id and text, and of one
+    group the smallest hash of the smallest id stays. Of rows with the same id and text one stays, the first by the other
+    columns. Rows without an id stay."""
+    similar = lambda rows: jaccard_join.jaccard_components(rows, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
+    if docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        found = similar(docs)
+        gone = stage(found.filter("doc_id <> component_id").select("doc_id").distinct(), "pipeline-gone")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")).alias("__node")
+    rows = docs.select(*docs.columns, node)
+    nodes = stage(rows.filter("__node IS NOT NULL").groupBy("__node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "pipeline-nodes")
+    found = similar(docs.select(node.alias("doc_id"), "text")).select(F.col("doc_id").alias("__node"), "component_id")
+    found = stage(found.filter("__node IS NOT NULL").distinct().join(nodes, "__node"), "pipeline-components")
+    first = stage(found.groupBy("component_id").agg(F.min(F.struct("doc_id", "__node"))["__node"].alias("first")), "pipeline-first")
+    gone = stage(found.join(first, "component_id").filter("__node <> first").select("__node"), "pipeline-gone")
+    repeated = stage(nodes.filter("copies > 1").select("__node"), "pipeline-repeated")
+    kept = rows.join(gone, "__node", "left_anti")
+    others = F.to_json(F.struct(*[F.col(c) for c in docs.columns]), {"ignoreNullFields": "false"})
+    place = F.row_number().over(Window.partitionBy("__node").orderBy(others))
+    copies = kept.join(repeated, "__node", "left_semi").withColumn("__place", place).filter("__place = 1")
+    return kept.join(repeated, "__node", "left_anti").select(*docs.columns).union(copies.select(*docs.columns))
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

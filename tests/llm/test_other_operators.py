@@ -301,6 +301,17 @@ def test_pipeline_stage_by_stage(spark):
     assert before
 
 
+def test_near_duplicates_of_a_repeated_id(spark):
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    rows = [(7, text(i), "s") for i in range(30)] + [(7, text(0), "r"), (3, text(1), "s"), (9, text(2) + " more", "s"), (5, text(40), "s"), (8, text(40), "s")]
+    rows += [(None, text(3), "s"), (None, text(3), "s"), (7, None, "s"), (7, "", "s")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    want = {(7, text(i), "s") for i in range(30) if i not in (0, 1)} | {(7, text(0), "r"), (3, text(1), "s"), (5, text(40), "s"), (None, text(3), "s"), (7, None, "s"), (7, "", "s")}
+    for some in (frame, frame.repartition(7)):
+        got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, some, "").collect()]
+        assert set(got) == want and len(got) == len(want) + 1
+
+
 def test_pipeline_of_odd_rows(spark, tmp_path):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, component_id string, rate string"
     text = "die und der " * 30
