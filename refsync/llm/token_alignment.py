@@ -11,15 +11,19 @@ corpus-wide counts; a pair that every document holds has one row per chunk. Coun
 
 Defined results: texts that are null or empty, or that one of the tokenizers cannot give back byte by byte, have no tokens
 (zeros, empty digest). Repeated rows and equal texts count as documents of their own and get the same measures; null ids
-are kept. An empty table gives an empty result. Other columns of the input are not looked at. Long texts are encoded whole,
-since both tokenizers merge across white space.
+are kept. An empty table gives an empty result. Other columns of the input are not looked at. Texts are encoded by parts
+that are encoded alike wherever they stand (pieces of the first tokenizer's pattern; words with the spaces before them for
+the second), each part once per task; where that is not certain, texts are encoded whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -39,11 +43,14 @@ CHUNK_PAIRS = 1 << 20
 BATCH_BYTES = 1 << 19
 #: Groups with more links than this are counted by distinct ids instead of listing their links.
 LISTED_LINKS = 4096
+#: Parts of texts that a task remembers the encoding of, and the longest of them.
+KNOWN_PARTS, LONGEST_KNOWN = 400_000, 64
 
 
 class Tokenizer(NamedTuple):
-    """Encoding of texts and the bytes of every token."""
+    """Splitting of a text into parts that are encoded alike wherever they stand, encoding of parts, bytes of every token."""
 
+    parts: Callable[[str], list[str]]
     encode: Callable[[list[str]], list[list[int]]]
     tokens: list[bytes]
 
@@ -55,8 +62,15 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+#: Letters whose class is the same in all character tables (and numbers that are no digits left out); other texts are encoded whole.
+_SETTLED = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u2027\u4e00-\u9fa5]")
+#: `public_tokenizers.PATTERN` for such texts, in which letters and digits are what `\w` matches besides `_`.
+_PARTS = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+
+
 def open_byte_level(path: str) -> Tokenizer:
-    """A byte-level tokenizer; a space is put before each text, and special strings are plain text."""
+    """A byte-level tokenizer; special strings are plain text. Its merges stay inside the pieces of the usual splitting
+    pattern; a tokenizer that splits otherwise gets whole texts."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer as Library
 
@@ -69,20 +83,34 @@ def open_byte_level(path: str) -> Tokenizer:
     tokens = [b""] * (max(vocabulary.values()) + 1)
     for entry, i in vocabulary.items():
         tokens[i] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
-    encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    return Tokenizer(lambda texts: [e.ids for e in encode([" " + t for t in texts], add_special_tokens=False)], tokens)
+    batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+    encode = lambda texts: [e.ids for e in batch(texts, add_special_tokens=False)]
+    setup = json.loads(tokenizer.to_str())
+    usual = setup["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and not setup["normalizer"]
+    split = lambda text: [text] if not usual or _SETTLED.search(text) else _PARTS.findall(text)
+    return Tokenizer(split, encode, tokens)
+
+
+_WITH_SPACES = re.compile(" *[^ ]+| +")
 
 
 def open_pieces(path: str) -> Tokenizer:
-    """A sentence-piece model, which adds the space itself; byte pieces are bytes, U+2581 is a space."""
+    """A sentence-piece model, which adds the space itself; byte pieces are bytes, U+2581 is a space.
+
+    If no piece goes on after a space that follows something else, and spaces are kept, parts end before spaces."""
     import sentencepiece
 
     pieces = sentencepiece.SentencePieceProcessor(model_file=path)
-    tokens = []
+    tokens, inner = [], False
     for i in range(pieces.get_piece_size()):
         piece = pieces.id_to_piece(i)
+        inner |= "▁" in piece.lstrip("▁")
         tokens.append(bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode())
-    return Tokenizer(lambda texts: pieces.encode(texts, num_threads=1), tokens)
+    probe = " a  b\n c "
+    kept = b"".join(tokens[i] for i in pieces.encode(probe)) == f" {probe}".encode()
+    # every part begins with a space, which the model adds
+    encode = lambda texts: pieces.encode([t[1:] for t in texts], num_threads=1)
+    return Tokenizer(_WITH_SPACES.findall if kept and not inner else lambda text: [text], encode, tokens)
 
 
 def open_tokenizer(name: str) -> Tokenizer:
@@ -90,43 +118,82 @@ def open_tokenizer(name: str) -> Tokenizer:
     return open_pieces(path) if path.endswith(".model") else open_byte_level(path)
 
 
+class Encoder:
+    """Encodes texts with a space before each; parts that were met before are not encoded again (a bounded memory)."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer = tokenizer
+        self.known: dict[str, bytes] = {}  # ids as 32-bit integers
+        self.odd: set[str] = set()  # parts whose tokens do not give back their bytes
+
+    def __call__(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        """(ids of each text, whether they give back its bytes)"""
+        split = [self.tokenizer.parts(" " + text) for text in texts]
+        wanted = set().union(*split)
+        new = wanted.difference(self.known)
+        if len(self.known) + len(new) > KNOWN_PARTS:
+            self.known.clear()
+            new = wanted
+        parts = list(new)
+        for part, ids in zip(parts, self.tokenizer.encode(parts), strict=True):
+            self.known[part] = np.array(ids, np.int32).tobytes()
+            if b"".join(map(self.tokenizer.tokens.__getitem__, ids)) != part.encode("utf-8"):
+                self.odd.add(part)
+        found = [b"".join(map(self.known.__getitem__, own)) for own in split]
+        good = [True] * len(texts)
+        if self.odd and self.odd & wanted:
+            tokens = self.tokenizer.tokens.__getitem__
+            good = [b"".join(map(tokens, np.frombuffer(ids, np.int32).tolist())) == b" " + t.encode("utf-8") for ids, t in zip(found, texts, strict=True)]
+        for part in parts:
+            if len(part) > LONGEST_KNOWN:
+                del self.known[part]
+                self.odd.discard(part)
+        return found, good
+
+
 class Alignment(NamedTuple):
     n_a: int
     n_b: int
     n_groups: int
     n_links: int
     digest: str
-    a: np.ndarray  # distinct linked pairs and their number of links
-    b: np.ndarray
+    pairs: np.ndarray  # distinct linked pairs, a << 32 | b, and their number of links
     times: np.ndarray
 
 
-NOTHING = Alignment(0, 0, 0, 0, "", *[np.zeros(0, np.int64)] * 3)
+NOTHING = Alignment(0, 0, 0, 0, "", *[np.zeros(0, np.int64)] * 2)
 
 
 class Aligner:
-    """Aligns the tokens of two tokenizers over the bytes of a text."""
+    """Aligns the tokens of two tokenizers over the bytes of texts."""
 
     def __init__(self, first: Tokenizer, second: Tokenizer):
-        self.first, self.second = first, second
-        self.sizes = [np.array([len(t) for t in x.tokens], np.int64) for x in (first, second)]
+        self.tokens = first.tokens, second.tokens
+        self.encode = Encoder(first), Encoder(second)
+        self.sizes = [np.array([len(t) for t in tokens], np.int64) for tokens in self.tokens]
         #: Written forms of an id inside a group and at the end of its side, for both sides.
-        self.written = [f"{i}{mark}" for x, marks in ((first, ",|"), (second, ",;")) for mark in marks for i in range(len(x.tokens))]
+        self.written = [f"{i}{mark}" for tokens, marks in zip(self.tokens, (",|", ",;"), strict=True) for mark in marks for i in range(len(tokens))]
         self.starts = np.cumsum([0, len(first.tokens), len(first.tokens), len(second.tokens)])
 
-    def __call__(self, texts: list[str]) -> Iterator[Alignment]:
-        for text, a, b in zip(texts, self.first.encode(texts), self.second.encode(texts), strict=True):
-            whole = b" " + text.encode("utf-8")
-            joined = (b"".join(map(x.tokens.__getitem__, ids)) for x, ids in ((self.first, a), (self.second, b)))
-            yield self.align(np.array(a, np.int64), np.array(b, np.int64)) if all(own == whole for own in joined) else NOTHING
-
-    def align(self, a: np.ndarray, b: np.ndarray) -> Alignment:
-        """Groups and links of two encodings of the same bytes."""
+    def __call__(self, texts: list[str]) -> list[Alignment]:
+        (ids_a, good_a), (ids_b, good_b) = (encode(texts) for encode in self.encode)
+        good = [i for i in range(len(texts)) if good_a[i] and good_b[i]]
+        found = [NOTHING] * len(texts)
+        for i, own in zip(good, self.align([ids_a[i] for i in good], [ids_b[i] for i in good]) if good else (), strict=True):
+            found[i] = own
+        return found
+
+    def align(self, ids_a: list[bytes], ids_b: list[bytes]) -> list[Alignment]:
+        """Groups and links of two encodings of the same texts. The texts are worked on as one, since both encodings end
+        where a text ends."""
+        a, b = (np.frombuffer(b"".join(own), np.int32).astype(np.int64) for own in (ids_a, ids_b))
+        n_a, n_b = ([len(x) // 4 for x in own] for own in (ids_a, ids_b))
+        end_a, end_b = np.cumsum(n_a), np.cumsum(n_b)
         ends_a, ends_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        cuts = ends_a[ends_b[np.searchsorted(ends_b, ends_a)] == ends_a]
         group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
-        first_a, first_b = np.searchsorted(group_a, np.arange(len(cuts) + 1)), np.searchsorted(group_b, np.arange(len(cuts) + 1))
-        in_a, in_b = np.diff(first_a), np.diff(first_b)
+        in_a, in_b = np.bincount(group_a), np.bincount(group_b)
+        first_a, first_b = (np.concatenate([[0], np.cumsum(n)]) for n in (in_a, in_b))
         links = in_a * in_b
         last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         last_a[first_a[1:] - 1] = 1
@@ -134,30 +201,53 @@ class Aligner:
         order = np.empty(len(a) + len(b), np.int64)
         order[np.arange(len(a)) + first_b[group_a]] = a + self.starts[last_a]
         order[np.arange(len(b)) + first_a[group_b + 1]] = b + self.starts[2 + last_b]
-        text = "".join(map(self.written.__getitem__, order.tolist()))
-        pairs = [*self._listed(a, b, first_a, first_b, in_a, in_b, links), *self._counted(a, b, first_a, first_b, links)]
-        key, times = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        key, place = np.unique(key, return_inverse=True)
-        times = np.bincount(place, times, len(key)).astype(np.int64)
-        digest = hashlib.sha256(text[:-1].encode()).hexdigest()
-        return Alignment(len(a), len(b), len(cuts), int(links.sum()), digest, key // len(self.second.tokens), key % len(self.second.tokens), times)
-
-    def _listed(self, a, b, first_a, first_b, in_a, in_b, links) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Every link of the groups with few of them."""
+        texts = len(ids_a)
+        last_group = group_a[end_a - 1] + 1
+        first_group = np.concatenate([[0], last_group[:-1]])
+        text_of = np.repeat(np.arange(texts), last_group - first_group)
+        listed = self._listed(a, b, first_a, first_b, in_b, links)
+        counted = list(self._counted(a, b, first_a, first_b, links))
+        text, pair, times = (np.concatenate(x) for x in zip(listed, *counted, strict=True))
+        text = text_of[text]
+        ordered = np.lexsort((pair, text))
+        text, pair, times = text[ordered], pair[ordered], times[ordered]
+        at = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])]))
+        times = np.add.reduceat(times, at)
+        pair, bounds = pair[at], np.searchsorted(text[at], np.arange(texts + 1))
+        total = np.concatenate([[0], np.cumsum(links)])
+        spans = np.concatenate([[0], end_a + end_b])
+        written, codes = self.written.__getitem__, order.tolist()
+        out = []
+        for i in range(texts):
+            digest = hashlib.sha256("".join(map(written, codes[spans[i] : spans[i + 1]]))[:-1].encode()).hexdigest()
+            own = slice(bounds[i], bounds[i + 1])
+            n_links = int(total[last_group[i]] - total[first_group[i]])
+            out.append(Alignment(n_a[i], n_b[i], int(last_group[i] - first_group[i]), n_links, digest, pair[own], times[own]))
+        return out
+
+    def _listed(self, a, b, first_a, first_b, in_b, links) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(group, pair, 1) of every link of the groups with few of them."""
         own = np.flatnonzero(links <= LISTED_LINKS)
         n = links[own]
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         width = np.repeat(in_b[own], n)
         left = np.repeat(first_a[own], n) + inner // np.maximum(width, 1)
         right = np.repeat(first_b[own], n) + inner % np.maximum(width, 1)
-        yield a[left] * len(self.second.tokens) + b[right], np.ones(len(inner), np.int64)
+        return np.repeat(own, n), a[left] << 32 | b[right], np.ones(len(inner), np.int64)
 
-    def _counted(self, a, b, first_a, first_b, links) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _counted(self, a, b, first_a, first_b, links) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Groups with many links: distinct ids times distinct ids, with how often each occurs."""
         for g in np.flatnonzero(links > LISTED_LINKS):
             left, n_left = np.unique(a[first_a[g] : first_a[g + 1]], return_counts=True)
             right, n_right = np.unique(b[first_b[g] : first_b[g + 1]], return_counts=True)
-            yield (left[:, None] * len(self.second.tokens) + right).ravel(), (n_left[:, None] * n_right).ravel()
+            pairs = (left[:, None] << 32 | right).ravel()
+            yield np.full(len(pairs), g), pairs, (n_left[:, None] * n_right).ravel()
+
+
+@lru_cache(maxsize=1)
+def _aligner(first: str, second: str) -> Aligner:
+    """One per worker: its tasks share what it remembers."""
+    return Aligner(open_tokenizer(first), open_tokenizer(second))
 
 
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -193,10 +283,9 @@ def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def _chunk(number: int, held: list[tuple[bytes, int, Alignment]]) -> pa.RecordBatch:
     """A row per text, and a first row with the chunk's distinct pairs and the documents that hold them."""
-    sizes = [len(x.a) for _, _, x in held]
-    left, right = (np.concatenate([getattr(x, side) for _, _, x in held]) for side in "ab")
+    sizes = [len(x.pairs) for _, _, x in held]
     weight = np.repeat(np.array([copies for _, copies, _ in held], np.int64), sizes)
-    pairs, place = np.unique(left << 32 | right, return_inverse=True)
+    pairs, place = np.unique(np.concatenate([x.pairs for _, _, x in held]), return_inverse=True)
     documents = np.zeros(len(pairs), np.int64)
     np.add.at(documents, place, weight)
     texts = len(held)
@@ -222,15 +311,13 @@ def align_texts(texts: DataFrame, first: str = TOKENIZER_A, second: str = TOKENI
     """Alignments of distinct texts (text_id, text, copies), in chunks: see `_chunk`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = None
         task = TaskContext.get().partitionId() << 32
         rows = (row for batch in batches for row in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True))
         held, size, chunks = [], 0, 0
         for group in _batches(rows):
-            aligner = aligner or Aligner(open_tokenizer(first), open_tokenizer(second))
-            for (text_id, _, copies), found in zip(group, aligner([text for _, text, _ in group]), strict=True):
+            for (text_id, _, copies), found in zip(group, _aligner(first, second)([text for _, text, _ in group]), strict=True):
                 held.append((text_id, copies, found))
-                size += len(found.a) + 16
+                size += len(found.pairs) + 16
                 if size >= chunk_pairs:
                     yield _chunk(task + chunks, held)
                     held, size, chunks = [], 0, chunks + 1
