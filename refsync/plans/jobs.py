@@ -56,6 +56,12 @@ def _exclude(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df
 
 
+def table_layout(spec: TableSpec, buckets: int | None) -> snapshots.Layout | None:
+    """Buckets of the table by its key. The exclusion rules are part of it: under other rules all buckets are written."""
+    rules = "|".join([*spec.excluded_accounts, "", *spec.excluded_vendor_prefixes])
+    return None if buckets is None else snapshots.Layout(tuple(spec.keys), buckets, rules)
+
+
 def _issues(table: DataFrame, spec: TableSpec, permitted: DataFrame | None) -> DataFrame:
     return checks.run_checks(
         table,
@@ -86,9 +92,11 @@ def sync_increment(
     """Apply cleaned increment rows (text, through `clean_strings`, with lineage columns) to the current snapshot.
 
     The typed increments are staged once, the tagged ones once; the table itself is read twice (rows that share
-    a key, rows that do not) and written once. The manifest changes last: whatever fails before leaves the old
-    snapshot current, and a repeated run starts over. If another writer commits meanwhile, this one fails. Without the
-    version column no row is held to be outdated, and the last row of a key wins.
+    a key, rows that do not) and written once. Of a table in buckets only those are read that increment keys fall into,
+    and only those are written that accepted rows fall into (all of them if the exclusion rules changed). The manifest
+    changes last: whatever fails before leaves the old snapshot current, and a repeated run starts over. If another
+    writer commits meanwhile (to one of the buckets), this one fails. Without the version column no row is held to be
+    outdated, and the last row of a key wins.
     """
     with storage.discard_staged(spark):
         return _sync_increment(
@@ -107,10 +115,15 @@ def _sync_increment(
         log.warning("no column %s: outdated rows are not recognised", version)
         increments = increments.withColumn(version, F.lit(None).cast("string"))
     base = snapshots.sequence(spark, table_root)
-    current = snapshots.read_snapshot(spark, table_root)
-    clean.require_columns(current, keys)
-
+    state = snapshots.state(spark, table_root)
+    if state is None:
+        raise ValueError(f"no snapshot in {table_root}")
     typed = storage.stage(clean.enforce_schema(increments, spec.types), "increments")
+    layout = table_layout(spec, state.layout and state.layout.buckets)
+    same_rules = layout == state.layout
+    met = snapshots.buckets_of(typed, layout) if layout and same_rules else None
+    current = snapshots.read_snapshot(spark, table_root, buckets=met)
+    clean.require_columns(current, keys)
     few = tagging.few_keys(typed.count(), current.count())  # both from Parquet footers
     touched = tagging.touched_rows(current, typed, keys, few, True, rows_per_slice)
     tagged = storage.stage(
@@ -122,10 +135,17 @@ def _sync_increment(
     accepted = tagging.accepted_rows(tagged)
     clean_keys = CleanKeys(keys)
     winners = storage.stage(syncing.latest_wins(accepted, clean_keys, version).drop(*syncing.LINEAGE), "winners")
-    kept = tagging.untouched_rows(current, winners, keys, few, True, rows_per_slice)
+    written_buckets = snapshots.buckets_of(winners, layout) if layout and same_rules else None
+    replaced = current if written_buckets is None else snapshots.read_snapshot(spark, table_root, buckets=written_buckets)
+    kept = tagging.untouched_rows(replaced, winners, keys, few, True, rows_per_slice)
     updated = _exclude(kept.unionByName(winners, allowMissingColumns=True), spec)
-    snapshot = snapshots.write_data(updated, table_root)
-    written = snapshots.read_snapshot(spark, table_root, snapshot)
+    if layout is None:
+        part = snapshot = snapshots.write_data(updated, table_root)
+        written = spark.read.parquet(snapshots.snapshot_path(table_root, snapshot))
+    else:
+        part = snapshots.write_buckets(updated, table_root, layout, written_buckets)
+        snapshot = part.snapshot
+        written = snapshots.read_part(spark, table_root, part, state)
 
     # A replayed batch gets the same run id, so its audit tables are written over, not added twice.
     run_id = uuid.uuid5(uuid.NAMESPACE_URL, batch_id).hex if batch_id else f"{snapshot:06d}-{uuid.uuid4().hex[:8]}"
@@ -152,7 +172,7 @@ def _sync_increment(
         "duplicate_history": syncing.duplicate_history(repeated, clean_keys, version, spec.price),
     }
     paths |= audit_store.write_audit(summaries, audit_root, run_id)
-    row_count = snapshots.commit(spark, table_root, snapshot, batch_id, run_id, base)
+    row_count = snapshots.commit(spark, table_root, part, batch_id, run_id, base)
 
     counts = {r["status"]: r["count"] for r in tagged.groupBy("status").count().collect()}
     found = checks.check_counts(spark.read.parquet(paths["issues"])).first().asDict()
@@ -185,8 +205,9 @@ def full_refresh(
     permitted: DataFrame | None = None,
     dedup: bool = False,
     file_states: Mapping[str, list] | None = None,
+    buckets: int | None = None,
 ) -> SyncResult:
-    """Replace the table by the rows of full files. The snapshot before stays as the backup."""
+    """Replace the table by the rows of full files, dealt into `buckets` if given. The snapshot before stays as the backup."""
     started = time.monotonic()
     base = snapshots.sequence(spark, table_root)
     table = _exclude(clean.enforce_schema(rows, spec.types), spec)
@@ -195,14 +216,17 @@ def full_refresh(
     elif dedup:
         undated = table.withColumn(spec.version, F.lit(None).cast("date"))
         table = syncing.latest_wins(undated, list(spec.keys), spec.version).drop(spec.version)
-    snapshot = snapshots.write_data(table.drop(*syncing.LINEAGE), table_root)
+    layout = table_layout(spec, buckets)
+    rows = table.drop(*syncing.LINEAGE)
+    part = snapshots.write_data(rows, table_root) if layout is None else snapshots.write_buckets(rows, table_root, layout)
+    snapshot = part if layout is None else part.snapshot
     written = snapshots.read_snapshot(spark, table_root, snapshot)
     run_id = f"{snapshot:06d}-{uuid.uuid4().hex[:8]}"
     tables = {"issues": _issues(written, spec, permitted)}
     if file_states:
         tables["source_files"] = audit_store.file_rows(spark, "full", **file_states)
     paths = audit_store.write_audit(tables, audit_root, run_id)
-    row_count = snapshots.commit(spark, table_root, snapshot, None, run_id, base)
+    row_count = snapshots.commit(spark, table_root, part, None, run_id, base)
     found = checks.check_counts(spark.read.parquet(paths["issues"])).first().asDict()
     seconds = time.monotonic() - started
     audit_store.record_run(
@@ -252,7 +276,16 @@ def sync(
     )
     if found.rows is not None:
         result = full_refresh(
-            spark, table_root, audit_root, found.rows, spec, names(found), permitted, settings.full_refresh_dedup, states(found)
+            spark,
+            table_root,
+            audit_root,
+            found.rows,
+            spec,
+            names(found),
+            permitted,
+            settings.full_refresh_dedup,
+            states(found),
+            settings.buckets,
         )
     else:
         found = files.read_increments(

@@ -84,12 +84,12 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 def list_files(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     glob: str | None = None,
     exclude_glob: str | None = None,
     recursive: bool = False,
 ) -> DataFrame:
-    """Files as (path, name, modified, length); the contents are not read.
+    """Files of a folder (or several) as (path, name, modified, length); the contents are not read.
 
     `exclude_glob` removes the files of a second pattern, for patterns that overlap.
     """
@@ -126,6 +126,16 @@ def create_file(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def read_file(spark: SparkSession, path: str) -> str:
+    """Text of a small file."""
+    file_system, target = _file_system(spark, path)
+    stream = file_system.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def file_names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the files of a folder; empty if there is no such folder."""
     file_system, target = _file_system(spark, folder)
