@@ -2,26 +2,38 @@
 
 A classifier learned from a labelled table (naive Bayes over hashed words) gives each document a probability for every
 domain. Each document gets a rate, how often it is to be used (0: dropped, 1.5: once or twice). The expected tokens of
-domain k are the sum of rate * tokens * probability of k. The rates are the nonnegative ones nearest to `start` whose
-expected domain totals match the targets: projected-gradient least squares, with each domain's error scaled by the
-tokens that the domain has, so that a step of one is always safe. A step needs one sum per domain over all documents;
-the rates themselves are a function of those sums and are never written between steps.
+domain k are the sum of rate * tokens * probability of k. The rates are those nearest to `start`, nonnegative and at most
+`most`, whose expected domain totals match the targets (least squares; the pull to `start` has the small weight `PULL`).
+They are found by projected gradient steps: gradients of the domains' errors are collected in one multiplier per domain,
+and a rate is the projection of `start` minus multipliers times probabilities onto its bounds. A step is scaled by the
+Gram matrix of the probabilities of documents whose rate is inside the bounds, damped towards the tokens of each domain
+until it makes the error smaller.
+Each step needs one small aggregate over all documents; nothing is written between steps, and the rate stays an
+expression of as many numbers as there are domains.
+
+Steps end at the least-squares solution, to a share of `PRECISION`. If the targets cannot be met to `TOLERANCE` (a domain
+has too few tokens for the bounds), the nearest totals are returned; `Fit` holds what was wanted and what is reached, and a
+log line tells the difference.
 
 The classifier may be fitted on a sample of at most about `SAMPLE_ROWS` labelled documents (a documented parameter);
 probabilities, token counts and sums cover all documents and whole texts.
 
 Nulls: a null text has no tokens and the domains' prior; labels with a null id or domain teach nothing. A document that
 is labelled twice teaches twice. Without labels, or if a domain has no labelled documents, the known domains (or, if
-there are none, equal probabilities of all) are used. Repeated rows are rated each, ties cannot occur, and an empty
-table gives no rows. Targets of domains that no document belongs to cannot be met and are left out.
+there are none, equal probabilities of all) are used. Repeated rows are rated each and drawn each for itself, as are rows
+without id; ties cannot occur, and an empty table gives no rows. Targets of domains that no document belongs to cannot be
+met and are left out. Columns of the input with an output column's name are replaced.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import math
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +42,13 @@ from refsync.sources.storage import stage
 BUCKETS = 1 << 14
 SAMPLE_ROWS = 20_000
 SMOOTHING = 0.5
-STEPS = 30
-TOLERANCE = 1e-4
-KEEP_NEAR = 1e-3
+STEPS = 300
+DAMPINGS = (0.0, 1e-3, 1e-2, 0.1, 1.0)
+PRECISION = 1e-5
+TOLERANCE = 1e-3
+PULL = 5e-4
+
+log = logging.getLogger(__name__)
 
 DOMAINS = ("good", "junk", "toxic")
 #: Share of the token budget that each domain is to have.
@@ -61,13 +77,15 @@ def train(docs: DataFrame, labelled: DataFrame, domains: int, sample_rows: int =
     `labelled` has (doc_id, domain number). The sample is drawn by a hash of the id; its ids are few enough to be sent
     to all tasks. The driver gets at most domains * BUCKETS sums.
     """
-    labelled = labelled.toDF("labelled_id", "domain")
-    share = min(1.0, sample_rows / max(1, labelled.count()))
+    labelled = labelled.toDF("labelled_id", "domain").groupBy("labelled_id", "domain").agg(F.count("*").alias("times"))
+    found = labelled.groupBy("domain").agg(F.sum("times"), F.count("*")).collect()
+    rows = {r[0]: r[1] for r in found}
+    share = min(1.0, sample_rows / max(1, sum(r[2] for r in found)))
     drawn = F.pmod(F.xxhash64("labelled_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
+    # one row per drawn id and domain, however often it is labelled
     sample = docs.join(F.broadcast(labelled.filter(drawn)), docs[doc_id] == F.col("labelled_id"))
-    words = sample.select("domain", F.explode(tokens(docs[text])).alias("token"))
-    counts = words.groupBy("domain", _bucket(F.col("token")).alias("bucket")).agg(F.count("*").alias("n")).collect()
-    rows = {r[0]: r[1] for r in labelled.groupBy("domain").count().collect()}
+    words = sample.select("domain", "times", F.explode(tokens(docs[text])).alias("token"))
+    counts = words.groupBy("domain", _bucket(F.col("token")).alias("bucket")).agg(F.sum("times").alias("n")).collect()
     table = [[SMOOTHING] * BUCKETS for _ in range(domains)]
     for domain, bucket, n in counts:
         table[domain][bucket] += n
@@ -109,40 +127,93 @@ def classify(docs: DataFrame, prior: Sequence[float], table: Sequence[Sequence[f
     return judged.select(*own, "n_tokens", *[(F.col("odds")[k] / whole).alias(f"p_{n}") for k, n in enumerate(names)])
 
 
-def fit_rates(judged: DataFrame, names: Sequence[str], targets: Mapping[str, float], budget_share: float = 1.0, start: float = 1.0, steps: int = STEPS) -> Column:
-    """The rate of each row of a table with n_tokens and p_<domain>, as an expression of these columns.
+class Fit(NamedTuple):
+    """Rates as an expression of n_tokens and p_<domain>, and the tokens wanted and reached per domain."""
+
+    rate: Column
+    wanted: dict[str, float]
+    reached: dict[str, float]
+    steps: int
+
+
+def _rate(multipliers: Sequence[float], names: Sequence[str], start: float, most: float | None) -> Column:
+    moved = F.lit(float(start))
+    for n, m in zip(names, multipliers, strict=True):
+        moved = moved - F.col(f"p_{n}") * F.lit(float(m))
+    return F.greatest(F.lit(0.0), moved if most is None else F.least(F.lit(float(most)), moved))
 
-    The domain totals are to be targets[domain] * budget_share * all tokens.
+
+def fit(judged: DataFrame, names: Sequence[str], targets: Mapping[str, float], budget_share: float | None = 1.0, start: float = 1.0, most: float | None = None) -> Fit:
+    """Rates for a table with n_tokens and p_<domain>; the domain totals are to be targets[domain] * budget_share * all tokens.
+
+    Without a budget (None) it is the largest one, up to all tokens, for which no domain would have to be used more than
+    `most` times.
     """
-    part = lambda rate: [F.sum(rate * F.col("n_tokens") * F.col(f"p_{n}")).alias(n) for n in names]
-    held = judged.agg(*part(F.lit(1.0)), F.sum("n_tokens").alias("all")).first()
+    held_sums = [F.sum(F.col("n_tokens") * F.col(f"p_{n}")).alias(n) for n in names]
+    held = judged.agg(*held_sums, F.sum("n_tokens").alias("all")).first()
     whole = float(held["all"] or 0)
-    wanted = {n: targets.get(n, 0.0) * budget_share * whole for n in names}
-    rate = F.lit(float(start))
     if not whole:
-        return rate
+        return Fit(F.lit(float(start)), {}, {}, 0)
     present = [n for n in names if held[n] and held[n] > 1e-9 * whole]
-    reached = {n: start * held[n] for n in names}
-    for _ in range(steps):
-        error = {n: (reached[n] - wanted[n]) / held[n] for n in present}
-        if sum(abs(reached[n] - wanted[n]) for n in present) <= TOLERANCE * whole:
-            break
-        slope = sum((F.col(f"p_{n}") * F.lit(e) for n, e in error.items()), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate * (1 - KEEP_NEAR) + KEEP_NEAR * start - slope)
-        reached = judged.agg(*part(rate)).first().asDict()
-    return rate
-
-
-def mix(docs: DataFrame, labelled: DataFrame, names: Sequence[str] = DOMAINS, targets: Mapping[str, float] | None = None, budget_share: float = 1.0, text: str = "text", keep: Sequence[str] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """`docs` (or its columns `keep`) with n_tokens, p_<domain> and rate."""
+    if budget_share is None:
+        limits = [most * held[n] / (targets[n] * whole) for n in present if targets.get(n, 0.0) > 0 and most is not None]
+        budget_share = min([1.0, *limits])
+    wanted = np.array([targets.get(n, 0.0) * budget_share * whole for n in present])
+    owned = np.array([held[n] for n in present])
+    k = range(len(present))
+
+    def reached(multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens per domain, and the Gram matrix of the documents whose rate is inside the bounds."""
+        rate = _rate(multipliers, present, start, most)
+        inside = (F.col("rate") > 0) if most is None else (F.col("rate") > 0) & (F.col("rate") < most)
+        p = [F.col(f"p_{n}") for n in present]
+        sums = [F.sum(F.col("rate") * F.col("n_tokens") * p[i]).alias(f"s{i}") for i in k]
+        gram = [F.sum(F.when(inside, F.col("n_tokens") * p[i] * p[j])).alias(f"g{i}_{j}") for i in k for j in k if i <= j]
+        row = judged.select("n_tokens", *p, rate.alias("rate")).agg(*sums, *gram).first()
+        both = np.array([[row[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in k] for i in k])
+        return np.array([row[f"s{i}"] for i in k]), both
+
+    slope = lambda m, g: g - wanted - PULL * owned * m
+    far = lambda e: np.abs(e).sum()
+    slope = lambda m, g: g - wanted - PULL * owned * m
+    multipliers = np.zeros(len(present))
+    got, gram = reached(multipliers)
+    steps = 0
+    while steps < STEPS and np.abs(slope(multipliers, got)).sum() > PRECISION * whole:
+        error = slope(multipliers, got)
+        # damped until the error falls; fully damped it is the plain step, in which a domain's error is divided by its tokens
+        for damping in DAMPINGS:
+            move = np.linalg.solve(gram + np.diag((PULL + damping) * owned), error)
+            new, new_gram = reached(multipliers + move)
+            steps += 1
+            if np.abs(slope(multipliers + move, new)).sum() < 0.95 * np.abs(error).sum():
+                break
+        multipliers, got, gram = multipliers + move, new, new_gram
+    if np.abs(got - wanted).max(initial=0) > TOLERANCE * whole:
+        log.warning("targets cannot be met: wanted %s, reached %s tokens", dict(zip(present, wanted)), dict(zip(present, got)))
+    told = lambda x: dict(zip(present, map(float, x), strict=True))
+    return Fit(_rate(multipliers, present, start, most), told(wanted), told(got), steps)
+
+
+def mix(docs: DataFrame, labelled: DataFrame, names: Sequence[str] = DOMAINS, targets: Mapping[str, float] | None = None, budget_share: float | None = 1.0, text: str = "text", keep: Sequence[str] | None = None, sample_rows: int = SAMPLE_ROWS, most: float | None = None) -> DataFrame:
+    """`docs` (or its columns `keep`) with n_tokens, p_<domain> and rate.
+
+    Only token counts and probabilities are written for the fit; columns of the input are judged again on their way out,
+    so that no text is written between.
+    """
     prior, table = train(docs, labelled, len(names), sample_rows, text=text)
-    judged = stage(classify(docs, prior, table, names, text, keep), "mixing")
-    return judged.withColumn("rate", fit_rates(judged, names, TARGETS if targets is None else targets, budget_share))
+    judged = stage(classify(docs, prior, table, names, text, [] if keep is None else keep), "mixing")
+    rate = fit(judged, names, TARGETS if targets is None else targets, budget_share, most=most).rate
+    return (classify(docs, prior, table, names, text) if keep is None else judged).withColumn("rate", rate)
 
 
 def draw(mixed: DataFrame, doc_id: str = "doc_id", most: int | None = None) -> DataFrame:
-    """Rows as often as their rate says: its whole part, and once more with its fraction as chance (by a hash of the id)."""
-    chance = F.pmod(F.xxhash64(F.lit(11), mixed[doc_id]), F.lit(1 << 30)) / float(1 << 30)
+    """Rows as often as their rate says: its whole part, and once more with its fraction as chance.
+
+    The chance depends on the id and on the row's place in its partition, so rows without id or with a repeated one are
+    drawn each for itself."""
+    place = F.monotonically_increasing_id()
+    chance = F.pmod(F.xxhash64(F.lit(11), mixed[doc_id], place), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor(F.col("rate") + chance)
     if most is not None:
         copies = F.least(copies, F.lit(most))
