@@ -20,12 +20,18 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 BUDGET_SHARE = 1.1
 
 
+def _own_names(docs: DataFrame, *used: str) -> dict[str, str]:
+    """Other names for the columns of a table that a stage does not use, so that its new columns clash with none."""
+    return {c: f"__own{i}" for i, c in enumerate(docs.columns) if c not in used}
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: texts without a letter and texts of no main language go."""
     model = language_id.train_on_folds(docs)
-    judged = language_id.predict(docs, model)
+    own = _own_names(docs, "doc_id", "text")
+    judged = language_id.predict(docs.withColumnsRenamed(own), model)
     kept = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE)
-    return judged.filter(kept).select(*docs.columns)
+    return judged.filter(kept).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,16 +66,18 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by the rates that meet the target weights, each at most once: good ones stay, toxic ones go."""
+    """Documents drawn by the rates that meet the target weights: good ones stay, toxic ones go, and a document whose rate
+    is over one is there more than once (a rare domain that is to have more tokens than it has)."""
     labelled = mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    own = {c: f"__own{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}  # no clash with new columns
+    own = _own_names(docs, "doc_id", "text")
     mixed = mixing.mix(docs.withColumnsRenamed(own), labelled, budget_share=BUDGET_SHARE)
-    return mixing.draw(mixed, most=1).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
+    return mixing.draw(mixed).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard and slot."""
-    return sharding.shard(docs)
+    """All documents with their shard and slot. Columns of the input with the name of a new one get the ending `_in`."""
+    new = {c: f"{c}_in" for c in docs.columns if c in sharding.OUTPUTS}
+    return sharding.shard(docs.withColumnsRenamed(new))
 
 
 STAGES = [
