@@ -11,6 +11,13 @@ from refsync.functions.keys import distinct_keys, key_names, with_keys
 from refsync.functions.text import is_blank, trimmed
 from refsync.operators.skew import ROWS_PER_SLICE, skewed_join
 
+# Names of the checks.
+ONE_TO_ONE, BLANK_VALUE, CONSISTENT_VALUE = "one_to_one", "blank_value", "consistent_value"
+
+#: What a fact is about. A subject has up to three parts.
+SUBJECT = ("check", "part1", "part2", "part3")
+FACT = (*SUBJECT, "value", "detail")
+
 
 def table_duplicate_keys(current: DataFrame, increments: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys the table holds more than once: rows, surplus rows, and is the key being updated now.
@@ -177,3 +184,90 @@ def check_counts(issues: DataFrame) -> DataFrame:
         ]
     )
     return counts.withColumn("has_issues", F.col("one_to_one") + F.col("blank_value") + F.col("consistent_value") > 0)
+
+
+def check_facts(
+    df: DataFrame,
+    contract: str,
+    vendor: str,
+    catalogue: str,
+    item: str,
+    account: str,
+    sequence: str,
+    ignore_contract: str = "N/A",
+    prefix_length: int = 2,
+    weight: int = 1,
+) -> DataFrame:
+    """What the three checks have to know about the rows, counted: (check, part1, part2, part3, value, detail, rows).
+
+    One scan and one aggregation serve all checks: a row becomes at most three facts, copies are combined before the
+    shuffle, and a subject with very many values is many rows, never one cell. Facts add up: those of a changed table are
+    those of the old one plus those of the rows that came, minus (`weight=-1`) those of the rows that went. A check whose
+    columns are absent has no facts.
+    """
+    have = set(df.columns)
+    text = lambda c: F.col(f"`{c}`").cast("string")
+    filled = lambda *columns: F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in columns))
+
+    def fact(condition: Column, name: str, *values: Column) -> Column:
+        return F.when(condition, F.struct(*[v.alias(n) for v, n in zip([F.lit(name), *values], FACT, strict=True)]))
+
+    nothing, none = F.lit(""), F.lit(None).cast("string")
+    entries = []
+    if {contract, vendor} <= have:
+        real = filled(contract, vendor) & (trimmed(text(contract)) != ignore_contract)
+        entries.append(fact(real, ONE_TO_ONE, text(contract), nothing, nothing, text(vendor), none))
+    if {catalogue, item} <= have:
+        entries.append(fact(is_blank(F.col(f"`{catalogue}`")), BLANK_VALUE, text(item), nothing, nothing, none, none))
+    if {item, vendor, catalogue, account, sequence} <= have:
+        real = filled(item, vendor, catalogue, account, sequence) & (trimmed(text(catalogue)) != "")
+        prefix = F.substring(text(account), 1, prefix_length)
+        entries.append(fact(real, CONSISTENT_VALUE, text(item), text(vendor), prefix, text(catalogue), text(sequence)))
+    if not entries:
+        return df.sparkSession.createDataFrame([], ", ".join(f"`{c}` string" for c in FACT) + ", rows bigint")
+    facts = df.select(F.inline(F.filter(F.array(*entries), lambda f: f.isNotNull())))
+    return facts.groupBy(*FACT).agg((F.count(F.lit(1)) * weight).alias("rows"))
+
+
+def add_facts(facts: DataFrame, *changes: DataFrame) -> DataFrame:
+    """Facts after changes. A fact that was taken away more often than it was there is an error."""
+    total = facts
+    for change in changes:
+        total = total.unionByName(change)
+    summed = total.groupBy(*FACT).agg(F.sum("rows").alias("rows")).filter("rows <> 0")
+    wrong = F.raise_error(F.concat(F.lit("facts do not fit the table: "), F.to_json(F.struct(*FACT, "rows"))))
+    return summed.filter(F.when(F.col("rows") < 0, wrong.cast("boolean")).otherwise(F.lit(True)))
+
+
+def _several(facts: DataFrame) -> DataFrame:
+    """Subjects with more than one value: a smallest and a largest one, so nothing is collected per subject."""
+    valued = facts.filter(F.col("check") != BLANK_VALUE)
+    return valued.groupBy(*SUBJECT).agg(F.min("value").alias("low"), F.max("value").alias("high")).filter("low <> high").select(*SUBJECT)
+
+
+def marked_facts(facts: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Facts with `issue`: blank values, and all values of subjects that have several."""
+    valued, blank = facts.filter(F.col("check") != BLANK_VALUE), facts.filter(F.col("check") == BLANK_VALUE)
+    several = _several(facts).withColumn("issue", F.lit(True))
+    marked = skewed_join(valued, several, SUBJECT, "left", right_unique=True, rows_per_slice=rows_per_slice)
+    return marked.withColumn("issue", F.coalesce("issue", F.lit(False))).unionByName(blank.withColumn("issue", F.lit(True)))
+
+
+def issue_rows(facts: DataFrame, permitted: DataFrame | None = None, item: str = "item", rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """The facts that are issues, one row per value: of subjects with more than one value, and blank values of items that
+    are not permitted to have one (as in `blank_values`).
+    """
+    valued = facts.filter(F.col("check") != BLANK_VALUE)
+    found = skewed_join(valued, _several(facts), SUBJECT, "left_semi", right_unique=True, rows_per_slice=rows_per_slice)
+    blank = facts.filter(F.col("check") == BLANK_VALUE)
+    blank = blank_values(blank.withColumnRenamed("part1", item), "value", item, permitted).withColumnRenamed(item, "part1")
+    return found.unionByName(blank)
+
+
+def issue_counts(issues: DataFrame) -> DataFrame:
+    """Like `check_counts`, from `issue_rows`: subjects with several values, and rows with a blank one."""
+    subjects = issues.groupBy(*SUBJECT).agg(F.sum("rows").alias("rows"))
+    count = lambda name: F.count_if(F.col("check") == name).alias(name)
+    blanks = F.coalesce(F.sum(F.when(F.col("check") == BLANK_VALUE, F.col("rows"))), F.lit(0)).alias(BLANK_VALUE)
+    counts = subjects.agg(count(ONE_TO_ONE), blanks, count(CONSISTENT_VALUE))
+    return counts.withColumn("has_issues", F.col(ONE_TO_ONE) + F.col(BLANK_VALUE) + F.col(CONSISTENT_VALUE) > 0)

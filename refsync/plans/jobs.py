@@ -18,7 +18,7 @@ from refsync.config import FeedSpec, SyncSettings, TableSpec
 from refsync.functions.keys import CleanKeys
 from refsync.operators import audit, checks, classify as classifying, clean, feed, sync as syncing, tagging
 from refsync.operators.skew import ROWS_PER_SLICE
-from refsync.sources import audit_store, files, outputs, snapshots, storage
+from refsync.sources import audit_store, check_store, files, outputs, snapshots, storage
 
 log = logging.getLogger(__name__)
 
@@ -62,18 +62,18 @@ def table_layout(spec: TableSpec, buckets: int | None) -> snapshots.Layout | Non
     return None if buckets is None else snapshots.Layout(tuple(spec.keys), buckets, rules)
 
 
-def _issues(table: DataFrame, spec: TableSpec, permitted: DataFrame | None) -> DataFrame:
-    return checks.run_checks(
-        table,
+def _facts(rows: DataFrame, spec: TableSpec, weight: int = 1) -> DataFrame:
+    return checks.check_facts(
+        rows,
         spec.contract,
         spec.vendor,
         spec.catalogue,
         spec.item,
         spec.account,
         spec.sequence,
-        permitted,
         spec.ignored_contract,
         spec.account_prefix_length,
+        weight,
     )
 
 
@@ -156,8 +156,23 @@ def _sync_increment(
         "field_changes": tagging.tagged_changes(tagged, keys, version),
         "duplicate_versions": syncing.duplicate_versions(accepted, clean_keys, rows_per_slice),
         "table_duplicate_keys": checks.table_duplicate_keys(current, winners, keys),
-        "issues": _issues(written, spec, permitted),
+        "stale_rows": tagged.filter(F.col("status") == "stale").drop("__previous", "status"),
     }
+    if layout is None:
+        fact_part = None
+        tables["issues"] = checks.issue_rows(_facts(written, spec), permitted, spec.item)
+    else:
+        facts_root = f"{audit_root}/check_facts"
+        facts_base = snapshots.sequence(spark, facts_root)
+        if same_rules and check_store.is_current(spark, facts_root, state.snapshot):
+            gone = tagging.touched_rows(replaced, winners, keys, few, True, rows_per_slice)
+            change = _facts(winners, spec).unionByName(_facts(gone, spec, -1))
+            fact_part = check_store.prepare(spark, facts_root, storage.stage(change, "fact-changes"))
+        else:
+            fact_part = check_store.prepare_all(_facts(written, spec), facts_root)
+        tables["issues"] = check_store.issues(spark, facts_root, fact_part)
+    if permitted is not None and {spec.catalogue, spec.item} <= set(written.columns):
+        tables["permitted_blanks"] = checks.permitted_blanks(written, spec.catalogue, spec.item, permitted)
     tables["changes_by_column"] = syncing.changes_by_column(tables["field_changes"])
     if file_states:
         tables["source_files"] = audit_store.file_rows(spark, "increment", **file_states)
@@ -172,11 +187,16 @@ def _sync_increment(
         "duplicate_history": syncing.duplicate_history(repeated, clean_keys, version, spec.price),
     }
     paths |= audit_store.write_audit(summaries, audit_root, run_id)
-    row_count = snapshots.commit(spark, table_root, part, batch_id, run_id, base)
-
     counts = {r["status"]: r["count"] for r in tagged.groupBy("status").count().collect()}
-    found = checks.check_counts(spark.read.parquet(paths["issues"])).first().asDict()
+    if fact_part is None:
+        found = checks.issue_counts(spark.read.parquet(paths["issues"])).first().asDict()
+    else:
+        found = check_store.counts(spark, facts_root, fact_part, permitted, spec.item)
     seconds = time.monotonic() - started
+    row_count = written.count() if layout is None else sum(part.rows.values()) + sum(
+        own[1] for b, own in state.folders.items() if same_rules and b not in set(part.touched)
+    )
+    # the run is recorded before it counts: a replay after a crash between the two writes the same row again
     audit_store.record_run(
         spark,
         audit_root,
@@ -192,6 +212,9 @@ def _sync_increment(
         skipped_rows=counts.get("stale", 0),
         **found,
     )
+    snapshots.commit(spark, table_root, part, batch_id, run_id, base)
+    if fact_part is not None:
+        check_store.commit(spark, facts_root, fact_part, snapshot, facts_base)
     return SyncResult(run_id, "increment", snapshot, file_names or [], paths, counts, found, seconds)
 
 
@@ -217,17 +240,35 @@ def full_refresh(
         undated = table.withColumn(spec.version, F.lit(None).cast("date"))
         table = syncing.latest_wins(undated, list(spec.keys), spec.version).drop(spec.version)
     layout = table_layout(spec, buckets)
-    rows = table.drop(*syncing.LINEAGE)
-    part = snapshots.write_data(rows, table_root) if layout is None else snapshots.write_buckets(rows, table_root, layout)
+    kept = table.drop(*syncing.LINEAGE)
+    part = snapshots.write_data(kept, table_root) if layout is None else snapshots.write_buckets(kept, table_root, layout)
     snapshot = part if layout is None else part.snapshot
     written = snapshots.read_snapshot(spark, table_root, snapshot)
     run_id = f"{snapshot:06d}-{uuid.uuid4().hex[:8]}"
-    tables = {"issues": _issues(written, spec, permitted)}
+    clean_rows = clean.enforce_schema(rows, spec.types)
+    tables = {"table_duplicate_keys": checks.table_duplicate_keys(written, written.limit(0), list(spec.keys))}
+    if spec.version in clean_rows.columns:
+        source = spec.source_file if spec.source_file in clean_rows.columns else None
+        tables["rows_by_date"] = audit.rows_by_date(clean_rows, spec.version, source)
+        tables["duplicate_keys"] = syncing.duplicate_keys(clean_rows, list(spec.keys), spec.version, spec.price, source)
+    if permitted is not None and {spec.catalogue, spec.item} <= set(written.columns):
+        tables["permitted_blanks"] = checks.permitted_blanks(written, spec.catalogue, spec.item, permitted)
+    if layout is None:
+        fact_part = None
+        tables["issues"] = checks.issue_rows(_facts(written, spec), permitted, spec.item)
+    else:
+        facts_root = f"{audit_root}/check_facts"
+        facts_base = snapshots.sequence(spark, facts_root)
+        fact_part = check_store.prepare_all(_facts(written, spec), facts_root)
+        tables["issues"] = check_store.issues(spark, facts_root, fact_part)
     if file_states:
         tables["source_files"] = audit_store.file_rows(spark, "full", **file_states)
     paths = audit_store.write_audit(tables, audit_root, run_id)
-    row_count = snapshots.commit(spark, table_root, part, None, run_id, base)
-    found = checks.check_counts(spark.read.parquet(paths["issues"])).first().asDict()
+    if fact_part is None:
+        found = checks.issue_counts(spark.read.parquet(paths["issues"])).first().asDict()
+    else:
+        found = check_store.counts(spark, facts_root, fact_part, permitted, spec.item)
+    row_count = written.count()
     seconds = time.monotonic() - started
     audit_store.record_run(
         spark,
@@ -241,6 +282,9 @@ def full_refresh(
         column_count=len(written.columns),
         **found,
     )
+    snapshots.commit(spark, table_root, part, None, run_id, base)
+    if fact_part is not None:
+        check_store.commit(spark, facts_root, fact_part, snapshot, facts_base)
     return SyncResult(run_id, "full", snapshot, file_names or [], paths, {}, found, seconds)
 
 
