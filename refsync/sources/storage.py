@@ -39,15 +39,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark)}/refsync/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the work folder and read it back.
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write a table to the work folder and read it back. With `keep`, `discard_staged` leaves it.
 
     Cuts the lineage like a checkpoint, survives the loss of executors, and (unlike a checkpoint) stays columnar,
     so later steps read only the columns they need.
     """
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    if (opened := _opened.get()) is not None:
+    if (opened := _opened.get()) is not None and not keep:
         opened.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
