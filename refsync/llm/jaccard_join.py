@@ -10,10 +10,12 @@ candidates, which few and large segments avoid; the sizes of the bands come from
 
 Sets that share a key are candidates. Equal sets are one node from the start. A key with many sets is not expanded into
 pairs: in `STAR_ROUNDS` rounds each key's sets are compared with one of them only, and what is linked becomes one
-component; in the last round the sets of a key that are still in different components are compared with each other.
+component; in the last round the sets of a key that are still in different components are compared with each other, in
+blocks inside tasks that give out nothing but the pairs left; a key with more than `KEY_SETS` sets is divided into blocks
+of sets, and every two of its blocks meet in a task of their own.
 Links inside a component do not change it, so components are exact. Before its shingles are compared, a pair must pass
-an exact bound: parities of the shingles' hashes in bins (256, more for large sets) differ in no more places than the
-sets differ.
+an exact bound: parities of the shingles' hashes in bins (256, more for large sets; `FINE` times as many in the last
+round) differ in no more places than the sets differ.
 
 Definitions: words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. A set with fewer than k words holds its whole word
 sequence; without words it is empty and linked with nothing, as are null texts. Two documents link when
@@ -34,10 +36,13 @@ from pyspark.sql import functions as F
 
 from refsync.llm import textops
 from refsync.llm.components import connected_components
-from refsync.sources.storage import stage
+from refsync.sources.storage import discard_staged, stage
 
 PARITY_BINS = 256
+FINE = 8
 STAR_ROUNDS = 2
+#: Sets of a key that meet in one task in the last round, and pairs that are compared at once.
+KEY_SETS, PAIR_BLOCK = 4096, 1 << 15
 BROADCAST_IDS = 1_000_000
 SLICE_TEXTS = 4096
 PAIR_COST = 0.005
@@ -135,11 +140,11 @@ def _signature(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return first, textops.sum_by_text(textops.mix(hashes ^ np.uint64(0x89ABCDEF01)), offsets)
 
 
-def _parity(hashes: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """Parity bins of each set as 64-bit words: `PARITY_BINS`, or for large sets the power of two from 2/3 of its size on;
-    and folded to half as many bins (empty for small sets), for partners of the next lower power."""
+def _parity(hashes: np.ndarray, offsets: np.ndarray, fine: int = 1) -> tuple[pa.Array, pa.Array]:
+    """Parity bins of each set as 64-bit words: `PARITY_BINS`, or for large sets the power of two from 2/3 of its size on
+    (`fine` times as many); and folded to half as many bins (empty for small sets), for partners of the next lower power."""
     sizes = np.diff(offsets)
-    bins = np.maximum(PARITY_BINS, 1 << np.ceil(np.log2(np.maximum(sizes, 1) / 1.5)).clip(0).astype(int))
+    bins = np.maximum(PARITY_BINS, fine << np.ceil(np.log2(np.maximum(sizes, 1) / 1.5)).clip(0).astype(int))
     words, halves = bins // 64, np.where(bins > PARITY_BINS, bins // 128, 0)
     ends, half_ends = np.concatenate([[0], np.cumsum(words)]), np.concatenate([[0], np.cumsum(halves)])
     flat, half_flat = np.zeros(ends[-1], np.uint64), np.zeros(half_ends[-1], np.uint64)
@@ -197,6 +202,95 @@ def _shingle_sets(k: int) -> Callable:
     return run
 
 
+def _sketches(k: int) -> Callable:
+    """Sets with fine parity bins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, hashes, offsets in _sets(batch.column(1), k):
+                columns = [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), *_parity(hashes, offsets, FINE)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "parity", "half"])
+
+    return run
+
+
+def _pairs_of(groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of places inside runs of equal values, the earlier place first, in blocks of about PAIR_BLOCK pairs."""
+    n = len(groups)
+    last = np.searchsorted(groups, groups, side="right")
+    after = last - np.arange(n) - 1  # partners of each place
+    ends = np.cumsum(after)
+    for first in range(0, int(ends[-1]) if n else 0, PAIR_BLOCK):
+        number = np.arange(first, min(first + PAIR_BLOCK, int(ends[-1])))
+        left = np.searchsorted(ends, number, side="right")
+        yield left, left + 1 + number - (ends[left] - after[left])
+
+
+class _Bins:
+    """Parity bins of several sets, rows of equal length together."""
+
+    def __init__(self, lists: pa.ListArray):
+        self.words = lists.value_lengths().to_numpy()
+        flat = lists.flatten().to_numpy().view(np.uint64)
+        starts = np.cumsum(self.words) - self.words
+        self.place, self.tables = np.zeros(len(self.words), np.int64), {}
+        for words in np.unique(self.words):
+            own = np.flatnonzero(self.words == words)
+            self.place[own] = np.arange(len(own))
+            self.tables[int(words)] = flat[starts[own][:, None] + np.arange(words)]
+
+    def rows(self, at: np.ndarray, words: int) -> np.ndarray:
+        return self.tables[words][self.place[at]]
+
+
+def _close_pairs(table: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs under a common key that pass the bounds and lie in different components and, of a divided key, in the right blocks."""
+    table = table.combine_chunks()
+    key, node, component, n, own, other = (table[c].to_numpy() for c in ("group", "node", "component", "n", "own", "other"))
+    whole, half = _Bins(table["parity"].chunk(0)), _Bins(table["half"].chunk(0))
+    found: list[np.ndarray] = []
+    for a, b in _pairs_of(key):
+        kept = (component[a] != component[b]) & (np.maximum(n[a], n[b]) * percent <= np.minimum(n[a], n[b]) * 100)
+        kept &= (own[a] != own[b]) | (own[a] == other[a])  # pairs of one block meet where the block meets itself
+        a, b = a[kept], b[kept]
+        differ = np.zeros(len(a), np.int64)
+        sides = {(False, False): whole.words[a] == whole.words[b], (True, False): half.words[a] == whole.words[b], (False, True): whole.words[a] == half.words[b]}
+        for (fold_a, fold_b), same in sides.items():
+            words = (half if fold_a else whole).words[a]
+            for width in np.unique(words[same]):
+                at = np.flatnonzero(same & (words == width))
+                x = (half if fold_a else whole).rows(a[at], int(width)) ^ (half if fold_b else whole).rows(b[at], int(width))
+                differ[at] = np.bitwise_count(x).sum(1, dtype=np.int64)
+        good = differ * (100 + percent) <= (n[a] + n[b]) * (100 - percent)
+        if good.any():
+            found.append(np.sort(np.stack([node[a[good]], node[b[good]]], 1), axis=1))
+    if found:
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _compared(percent: int) -> Callable:
+    """`_close_pairs` over a partition in order of keys; groups are taken together up to KEY_SETS rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(pa.Table.from_batches([batch]))
+            rows += batch.num_rows
+            last = batch.column(0)[-1].as_py()
+            if rows >= KEY_SETS and held[0]["group"][0].as_py() != last:
+                whole = pa.concat_tables(held)
+                cut = int(np.searchsorted(whole["group"].to_numpy(), last, side="left"))
+                yield from _close_pairs(whole.slice(0, cut), percent)
+                held, rows = [whole.slice(cut)], whole.num_rows - cut
+        if held:
+            yield from _close_pairs(pa.concat_tables(held), percent)
+
+    return run
+
+
 def _possible(a: str, b: str, percent: int) -> Column:
     """Exact bound: sets that cannot link are out. Columns n, parity and half of both sides have these prefixes."""
     sizes = F.col(f"{a}n") + F.col(f"{b}n")
@@ -236,7 +330,12 @@ def _small(table: DataFrame, rows: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of `docs`."""
+    """(doc_id, n_shingles, component_id) of every row of `docs`. Only the result stays in the work folder."""
+    with discard_staged(docs.sparkSession):
+        return stage(_components(docs, doc_id, text, k, percent), "jaccard", keep=True)
+
+
+def _components(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     sets = stage(docs.mapInArrow(_describe(k), "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, parity array<bigint>, half array<bigint>"), "jaccard-sets")
     same = ["s1", "s2", "n_shingles"]
@@ -277,12 +376,20 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
             near = near.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
             pairs = near.join(side("a"), "a").join(side("b"), "b").filter(_possible("a_", "b_", percent)).select("a", "b")
         else:
-            groups = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-            rest = labelled.join(stage(groups.select("key"), "jaccard-open"), "key").join(info, "node")
-            rest = stage(rest.select("key", *[F.col(x).alias(f"a_{x}") for x in (*info.columns, "component")]), "jaccard-rest")
-            other = rest.toDF("key", *[c.replace("a_", "b_", 1) for c in rest.columns[1:]])
-            near = rest.join(other, (rest["key"] == other["key"]) & (F.col("a_component") < F.col("b_component")) & _possible("a_", "b_", percent))
-            pairs = near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+            counts = (F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("sets"))
+            groups = labelled.groupBy("key").agg(*counts).filter("low < high")
+            groups = stage(groups.select("key", F.ceil(F.col("sets") / KEY_SETS).cast("int").alias("parts")), "jaccard-open")
+            rest = stage(labelled.join(groups, "key").select("key", "node", "component", "parts"), "jaccard-rest")
+            named = stage(rest.select(F.col("node").alias("doc_id")).distinct(), "jaccard-left")
+            wanted = docs.join(_small(named, BROADCAST_IDS), "doc_id", "left_semi").select("doc_id", "text")
+            fine = stage(wanted.mapInArrow(_sketches(k), "node bigint, n bigint, parity array<bigint>, half array<bigint>").join(info.select("node"), "node", "left_semi"), "jaccard-fine")
+            # every block of a divided key meets every block of it, itself included
+            rest = rest.withColumn("own", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("parts")).cast("int"))
+            rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            meeting = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group")
+            met = rest.select(meeting, "node", "component", "own", "other").join(fine, "node")
+            met = met.repartition("group").sortWithinPartitions("group", "n")
+            pairs = met.mapInArrow(_compared(percent), "a bigint, b bigint").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "jaccard-pairs")

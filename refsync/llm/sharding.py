@@ -3,9 +3,9 @@
 Records are ordered by a key (the hash of the text, so equal texts are neighbours). A sample of keys, drawn with a
 chance in proportion to the records' sizes, gives quantile boundaries: ranges of about equal bytes. A key that spans
 several quantiles has a range of its own. Then the bytes of every range are summed exactly, and a range that is overfull
-is subdivided by a second hash. Inside a range, a running sum gives each record its exact position in the whole order of
+is subdivided by a second hash of the key, or by rows if it has a single key. Inside a range, a running sum gives each record its exact position in the whole order of
 bytes; with n shards, the record whose middle lies in the i-th of n equal parts goes to shard i. Equal texts stay
-together unless they are larger than a sixteenth of a shard. Slots number the records of a shard without gaps, from the
+together unless they are larger than a sixteenth of a shard or than two ranges. Slots number the records of a shard without gaps, from the
 number of records in earlier ranges.
 
 The work per task is a range, whatever the distribution of keys; what the driver sees are the sampled keys and one row
@@ -31,6 +31,8 @@ RANGE_BYTES = 256 << 20
 SAMPLES_PER_RANGE = 16
 LEAST_CELL_BITS = 10
 WHOLE_SHARE = 16
+BROADCAST_ROWS = 1_000_000
+OUTPUTS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def _table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
@@ -83,10 +85,12 @@ def _range_of(records: DataFrame, found: list[int]) -> DataFrame:
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """`docs`, or its columns `keep`, with size, text_crc32, law, shard, slot, grown_shard (null under this law)."""
-    spark = docs.sparkSession
-    outputs = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
-    own = [c for c in (docs.columns if keep is None else keep) if c not in outputs]
+    """`docs`, or its columns `keep`, with size, text_crc32, law, shard, slot, grown_shard (null under this law).
+
+    If the texts themselves are kept, places are worked out without them: a row is known by a hash of its id and text,
+    and joins its place at the end. Rows that are equal in both are told apart by carrying their columns along.
+    """
+    own = [c for c in (docs.columns if keep is None else keep) if c not in OUTPUTS]
     payload = docs.select(F.struct(*own).alias("row"), F.coalesce(docs[text], F.lit("")).alias("t"), docs[doc_id].alias("i"))
     records = payload.select(
         "row",
@@ -96,18 +100,38 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str
         F.xxhash64(F.lit(1), "i", "t").alias("r"),
         "i",
     )
+    if text not in own:
+        return _result(_places(records, shards, range_bytes), "row.*")
+    repeated = stage(records.groupBy("r").count().filter("count > 1").select("r"), "shard-repeated")
+    n = repeated.count()
+    few = F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated
+    flagged = records.join(few.withColumn("again", F.lit(True)), "r", "left") if n else records.withColumn("again", F.lit(None).cast("boolean"))
+    placed = _places(flagged.withColumn("row", F.when(F.col("again"), F.col("row"))).drop("again"), shards, range_bytes)
+    single = records.join(few, "r", "left_anti") if n else records
+    joined = single.select("r", "row").join(placed.filter("row IS NULL").drop("row"), "r")
+    return _result(joined, "row.*").unionByName(_result(placed.filter("row IS NOT NULL"), "row.*")) if n else _result(joined, "row.*")
+
+
+def _result(placed: DataFrame, *columns: str) -> DataFrame:
+    return placed.select(*columns, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _places(records: DataFrame, shards: int, range_bytes: int) -> DataFrame:
+    """(r, row, size, text_crc32, shard, slot) of records (row, size, text_crc32, h, r, i)."""
+    spark = records.sparkSession
     narrow = records.select("size", "h", "r")
     total, count = narrow.agg(F.sum("size"), F.count("*")).first()
     if not count:
-        empty = records.select("row.*", "size", "text_crc32", F.lit("bytes").alias("law"), F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"))
-        return empty.withColumn("grown_shard", F.lit(None).cast("int"))
+        return records.select("r", "row", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"))
     ranges = max(LEAST_RANGES, -(-total // range_bytes))
     ranged = _range_of(records, splitters(narrow, ranges, total))
-    sizes = sorted((row[0], row[1]) for row in ranged.groupBy("range").agg(F.sum("size")).collect())
+    sizes = sorted(tuple(row) for row in ranged.groupBy("range").agg(F.sum("size"), F.min("h") == F.max("h")).collect())
     limit = 2 * total / ranges
-    parts = _table(spark, [{"range": k, "parts": max(1, int(b / limit))} for k, b in sizes], "range: bigint, parts: bigint")
-    part = F.floor(_uniform(F.lit(3), "r", "i") * F.col("parts")).cast("bigint")
-    placed = ranged.join(F.broadcast(parts), "range").withColumn("part", part).drop("parts")
+    parts = _table(spark, [{"range": k, "parts": max(1, int(b / limit)), "one": one} for k, b, one in sizes], "range: bigint, parts: bigint, one: boolean")
+    # by key; only a range of a single key is divided by rows (the place in the partition tells equal rows apart)
+    by_row = F.xxhash64("r", F.monotonically_increasing_id())
+    part = F.floor(_uniform(F.lit(3), F.when(F.col("one"), by_row).otherwise(F.col("h"))) * F.col("parts")).cast("bigint")
+    placed = ranged.join(F.broadcast(parts), "range").withColumn("part", part).drop("parts", "one")
 
     within = ["range", "part"]
     order = Window.partitionBy(*within).orderBy("h", "r", "i")
@@ -130,15 +154,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str
     firsts = F.broadcast(_table(spark, offset, "shard: int, range: bigint, part: bigint, first: bigint"))
     place = F.row_number().over(Window.partitionBy(*within, "shard").orderBy("end"))
     slotted = located.withColumn("place", place).join(firsts, ["shard", *within])
-    return slotted.select(
-        "row.*",
-        "size",
-        "text_crc32",
-        F.lit("bytes").alias("law"),
-        "shard",
-        (F.col("first") + F.col("place") - 1).cast("bigint").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"),
-    )
+    slot = (F.col("first") + F.col("place") - 1).cast("bigint").alias("slot")
+    return slotted.select("r", "row", "size", "text_crc32", "shard", slot)
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
