@@ -107,10 +107,18 @@ def open_pieces(path: str) -> Tokenizer:
         inner |= "▁" in piece.lstrip("▁")
         tokens.append(bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode())
     probe = " a  b\n c "
-    kept = b"".join(tokens[i] for i in pieces.encode(probe)) == f" {probe}".encode()
-    # every part begins with a space, which the model adds
-    encode = lambda texts: pieces.encode([t[1:] for t in texts], num_threads=1)
-    return Tokenizer(_WITH_SPACES.findall if kept and not inner else lambda text: [text], encode, tokens)
+    found = pieces.encode(probe)
+    safe = not inner and b"".join(tokens[i] for i in found) == f" {probe}".encode()
+    alone = found[-1:]  # a space that nothing follows
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        """Every part begins with a space, which the model adds, but not to an empty rest."""
+        ids = pieces.encode([t[1:] for t in texts], num_threads=1)
+        return [alone if t == " " else own for t, own in zip(texts, ids, strict=True)]
+
+    # a written U+2581 is a space to the model
+    split = lambda text: _WITH_SPACES.findall(text) if safe and "▁" not in text else [text]
+    return Tokenizer(split, encode, tokens)
 
 
 def open_tokenizer(name: str) -> Tokenizer:
