@@ -279,7 +279,7 @@ def _compared(percent: int) -> Callable:
                 continue
             held.append(pa.Table.from_batches([batch]))
             rows += batch.num_rows
-            last = batch.column(0)[-1].as_py()
+            last = batch.column("group")[-1].as_py()
             if rows >= KEY_SETS and held[0]["group"][0].as_py() != last:
                 whole = pa.concat_tables(held)
                 cut = int(np.searchsorted(whole["group"].to_numpy(), last, side="left"))
