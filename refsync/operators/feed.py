@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refsync.functions.text import parse_number
-from refsync.operators.skew import ROWS_PER_SLICE, hot_keys, skewed_join
+from refsync.operators.skew import ROWS_PER_SLICE, HotKeys, KeySummary, hot_keys, skewed_join
 from refsync.operators.sync import with_key_count
 
 # Names of the two match routes.
@@ -158,12 +158,15 @@ def match_candidates(
     routes: Mapping[str, tuple[str, DataFrame]],
     row_keys: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
+    summary: KeySummary | None = None,
+    part_rows: int | None = None,
 ) -> DataFrame:
     """Candidates per feed row and route: `row_keys`, `route`, `candidate`.
 
     `routes` maps a route name to the feed column and its (part number, item) map. The routes are kept in long
     form: the matches of the two routes of one feed row are never multiplied with each other. Only the row keys
-    and the part numbers travel.
+    and the part numbers travel. `summary` knows the feed's frequent part numbers, `part_rows` bounds the rows of a part
+    map; without them the heavy part numbers are counted.
     """
     found = None
     for route, (part, part_map) in routes.items():
@@ -171,7 +174,14 @@ def match_candidates(
         narrow = feed.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*row_keys, part])])
         pairs = part_map.select(F.col(f"`{part_column}`").alias("__part"), F.col(f"`{item_column}`").cast("string").alias("candidate"))
         joined = skewed_join(
-            narrow, pairs, [part], "inner", right_keys=["__part"], rows_per_slice=rows_per_slice
+            narrow,
+            pairs,
+            [part],
+            "inner",
+            right_keys=["__part"],
+            hot_left=summary and summary.hot(feed, [part], rows_per_slice),
+            rows_per_slice=rows_per_slice,
+            right_rows=part_rows,
         ).select(*[F.col(f"`{c}`") for c in row_keys], F.lit(route).alias("route"), "candidate")
         found = joined if found is None else found.unionByName(joined)
     return found.filter(F.coalesce("candidate", F.lit("")) != "")
@@ -185,6 +195,7 @@ def collapse_candidates(
     source_name: str,
     legacy_null_join: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
+    candidate_rows: int | None = None,
 ) -> DataFrame:
     """Feed rows with one row per distinct candidate and the routes that found it (`DPN`, `MPN` or `DPN,MPN`).
 
@@ -198,7 +209,9 @@ def collapse_candidates(
     named = per_candidate.select(*[F.col(f"`{c}`") for c in row_keys], F.col("candidate").alias(name), sources.alias(source_name))
     blank = {name: F.coalesce(F.col(f"`{name}`"), F.lit("")), source_name: F.coalesce(F.col(f"`{source_name}`"), F.lit(""))}
     # A feed row is one row per key; the candidates of one feed row may be many.
-    result = skewed_join(feed, named, row_keys, "left", left_unique=True, rows_per_slice=rows_per_slice).withColumns(blank)
+    result = skewed_join(
+        feed, named, row_keys, "left", left_unique=True, rows_per_slice=rows_per_slice, right_rows=candidate_rows
+    ).withColumns(blank)
     if not legacy_null_join:
         return result
     has_null = F.lit(False)
@@ -223,14 +236,17 @@ def enrich(
     distributor: str,
     prefix_length: int = 2,
     rows_per_slice: int = ROWS_PER_SLICE,
+    heavy: HotKeys | None = None,
+    lookup_rows: int | None = None,
 ) -> DataFrame:
     """Add description, vendor list and vendor details of the matched item.
 
     Descriptions and details fan out when the item has several. The heavy items are found once and used for all
-    three joins, which all start with the item. The details keep their vendor code column.
+    three joins, which all start with the item. The details keep their vendor code column. `heavy` are the heavy candidates
+    and `lookup_rows` bounds the rows of a lookup, if the caller knows them.
     """
-    heavy = hot_keys(rows.select(F.col(f"`{candidate}`")), [candidate], rows_per_slice)
-    spread = {"hot_left": heavy, "rows_per_slice": rows_per_slice}
+    heavy = heavy or hot_keys(rows.select(F.col(f"`{candidate}`")), [candidate], rows_per_slice)
+    spread = {"hot_left": heavy, "rows_per_slice": rows_per_slice, "right_rows": lookup_rows}
 
     described = skewed_join(
         rows, lookups.descriptions, [candidate], "left", right_keys=[lookups.item], **spread
@@ -269,14 +285,22 @@ def date_match_status(start: Column, end: Column, table_start: Column, table_end
 
 
 def map_codes(
-    df: DataFrame, mapping: DataFrame, column: str, map_key: str, map_value: str, name: str, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame,
+    mapping: DataFrame,
+    column: str,
+    map_key: str,
+    map_value: str,
+    name: str,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    heavy: HotKeys | None = None,
 ) -> DataFrame:
-    """Left lookup of `column` in a mapping table; several entries for one code give several rows.
+    """Left lookup of `column` in a mapping table; several entries for one code give several rows. `heavy` are the heavy
+    codes, if the caller knows them.
 
     No broadcast hint: Spark broadcasts the mapping by itself when its size is below the session's threshold.
     """
     pairs = mapping.select(F.col(f"`{map_key}`").alias("__code"), F.col(f"`{map_value}`").alias(name))
-    return skewed_join(df, pairs, [column], "left", right_keys=["__code"], rows_per_slice=rows_per_slice)
+    return skewed_join(df, pairs, [column], "left", right_keys=["__code"], hot_left=heavy, rows_per_slice=rows_per_slice)
 
 
 def highest_unit_price(
@@ -304,8 +328,8 @@ def highest_unit_price(
 
 
 def flag_duplicates(
-    df: DataFrame, row_keys: Sequence[str], name: str = "Duplicates", rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, row_keys: Sequence[str], name: str = "Duplicates", rows_per_slice: int = ROWS_PER_SLICE, rows: int | None = None
 ) -> DataFrame:
     """'Y' on every row whose (file, index) occurs more than once, else ''."""
-    counted = with_key_count(df, row_keys, "__count", rows_per_slice)
+    counted = with_key_count(df, row_keys, "__count", rows_per_slice, rows)
     return counted.withColumn(name, F.when(F.col("__count") > 1, "Y").otherwise("")).drop("__count")

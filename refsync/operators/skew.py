@@ -10,9 +10,9 @@ the other side repeated once per slice. The result is the same as that of the pl
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from refsync.sources.storage import stage
@@ -33,6 +33,48 @@ class HotKeys:
     few: bool = True  # the table may be broadcast
 
 
+# Keys a summary tells, and keys it keeps track of: no key with more than about 3.5 / SUMMARY_TRACKED of all rows is missed.
+SUMMARY_KEYS, SUMMARY_TRACKED = 1_000, 20_000
+
+
+@dataclass(frozen=True)
+class KeySummary:
+    """Number of rows of a table and its most frequent keys, for one or several sets of key columns."""
+
+    rows: int
+    frequent: dict[tuple[str, ...], list[tuple[str, int]]] = field(default_factory=dict)  # key columns -> (key as JSON, rows)
+    schemas: dict[tuple[str, ...], str] = field(default_factory=dict)
+
+    def hot(self, df: DataFrame, keys: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> HotKeys:
+        """The heavy keys, without a job. Counts are upper bounds, so a key may get a slice too many."""
+        keys = tuple(keys)
+        found = [(key, -(-n // rows_per_slice)) for key, n in self.frequent[keys] if n > rows_per_slice]
+        if self.rows <= rows_per_slice or not found:
+            return HotKeys(keys, None)
+        table = df.sparkSession.createDataFrame(found, "key string, slices int")
+        table = table.select(F.from_json("key", self.schemas[keys]).alias("key"), "slices")
+        return HotKeys(keys, table.select(*[F.col(f"key.`c{i}`").alias(k) for i, k in enumerate(keys)], "slices"))
+
+
+def stage_summarised(df: DataFrame, label: str, *key_sets: Sequence[str], summary_keys: int = SUMMARY_KEYS) -> tuple[DataFrame, KeySummary]:
+    """`stage` a table and sum up its keys on the way: a sketch of frequent items per set of key columns that the writing
+    tasks fill and Spark merges, so no further job reads the table.
+    """
+    sets = [tuple(keys) for keys in key_sets]
+    types = dict(df.dtypes)
+    metrics = []
+    for i, keys in enumerate(sets):
+        parts = F.struct(*[F.col(f"`{k}`").alias(f"c{j}") for j, k in enumerate(keys)])
+        key = F.to_json(parts, {"ignoreNullFields": "false"})
+        metrics.append(F.call_function("approx_top_k", key, F.lit(summary_keys), F.lit(SUMMARY_TRACKED)).alias(f"top{i}"))
+    seen = Observation()
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics), label)
+    found = seen.get
+    frequent = {keys: [(r["item"], r["count"]) for r in found[f"top{i}"] or []] for i, keys in enumerate(sets)}
+    schemas = {keys: ", ".join(f"c{j} {types[k]}" for j, k in enumerate(keys)) for keys in sets}
+    return staged, KeySummary(found["rows"], frequent, schemas)
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE, max_keys: int = MAX_HOT_KEYS
 ) -> HotKeys:
@@ -107,12 +149,15 @@ def skewed_join(
     hot_left: HotKeys | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
     max_keys: int = MAX_HOT_KEYS,
+    left_rows: int | None = None,
+    right_rows: int | None = None,
 ) -> DataFrame:
     """Equi join on `keys`; returns the left columns and the non-key right columns.
 
     how: 'inner', 'left', 'left_semi' or 'left_anti'. `left_unique` / `right_unique` say that a side has one row
-    per key, which saves the count of that side. `hot_left` gives the heavy left keys when the caller has looked
-    for them already; they may be keyed on some of the join keys only.
+    per key, which saves the count of that side; so does a bound on a side's rows that is too small for a heavy key.
+    `hot_left` gives the heavy left keys when the caller has looked for them already; they may be keyed on some of the join
+    keys only.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -139,11 +184,12 @@ def skewed_join(
         right = right.dropna(subset=names)
 
     no_left, no_right = HotKeys(tuple(keys), None), HotKeys(tuple(names), None)
-    if left_unique:
+    few = lambda rows: rows is not None and rows <= rows_per_slice
+    if left_unique or (hot_left is None and few(left_rows)):
         hot_left = no_left
     elif hot_left is None:
         hot_left = hot_keys(left, keys, rows_per_slice, max_keys)
-    hot_right = no_right if right_unique else hot_keys(right, names, rows_per_slice, max_keys)
+    hot_right = no_right if right_unique or few(right_rows) else hot_keys(right, names, rows_per_slice, max_keys)
     if hot_left.table is None and hot_right.table is None:
         joined = left.join(right, keys_equal(left, right, keys, names, null_safe), how)
         return joined if existence else joined.drop(*names)

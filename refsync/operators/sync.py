@@ -323,14 +323,19 @@ def duplicate_keys(
 
 
 def with_key_count(
-    df: DataFrame, keys: Sequence[str], name: str, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add the number of rows that share the row's key.
 
     A window would put all rows of a key into one task; here the keys are counted with a combine before the
-    shuffle and the counts of repeated keys are joined back, heavy keys spread over slices.
+    shuffle and the counts of repeated keys are joined back, heavy keys spread over slices. `rows`: number of rows, if known.
     """
     names = key_names(keys)
+    few = rows is not None and rows <= rows_per_slice
     keyed = with_keys(df, keys)
     counts = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
     joined = skewed_join(
@@ -340,13 +345,15 @@ def with_key_count(
         "left",
         right_unique=True,
         null_safe=True,
-        hot_left=heaviest(counts, names, "__rows", rows_per_slice),
+        hot_left=None if few else heaviest(counts, names, "__rows", rows_per_slice),
+        rows_per_slice=rows_per_slice,
+        left_rows=rows,
     )
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("__rows", F.lit(1)).alias(name))
 
 
 def duplicate_versions(
-    df: DataFrame, keys: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, keys: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE, rows: int | None = None
 ) -> DataFrame:
     """All rows of the keys that occur more than once. Sort at the sink (`io` writers take `sort_by`)."""
-    return with_key_count(df, keys, "__count", rows_per_slice).filter("__count > 1").drop("__count")
+    return with_key_count(df, keys, "__count", rows_per_slice, rows).filter("__count > 1").drop("__count")

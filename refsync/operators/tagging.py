@@ -29,13 +29,14 @@ def touched_rows(
     broadcast_keys: bool = False,
     clean_increments: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
+    rows: int | None = None,
 ) -> DataFrame:
     """Table rows whose key is in the increments.
 
     `broadcast_keys` when the caller has counted the rows and `few_keys` says so: then the table is scanned without
-    a shuffle. Otherwise both sides are shuffled.
+    a shuffle. Otherwise both sides are shuffled. `rows`: number of table rows, if known.
     """
-    return _existence(current, increments, keys, "left_semi", broadcast_keys, clean_increments, rows_per_slice)
+    return _existence(current, increments, keys, "left_semi", broadcast_keys, clean_increments, rows_per_slice, rows)
 
 
 def untouched_rows(
@@ -45,12 +46,13 @@ def untouched_rows(
     broadcast_keys: bool = False,
     clean_increments: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
+    rows: int | None = None,
 ) -> DataFrame:
     """The complement of `touched_rows`: the part of the table an upsert keeps."""
-    return _existence(current, increments, keys, "left_anti", broadcast_keys, clean_increments, rows_per_slice)
+    return _existence(current, increments, keys, "left_anti", broadcast_keys, clean_increments, rows_per_slice, rows)
 
 
-def _existence(current, increments, keys, how, broadcast_keys, clean_increments, rows_per_slice) -> DataFrame:
+def _existence(current, increments, keys, how, broadcast_keys, clean_increments, rows_per_slice, rows) -> DataFrame:
     names = key_names(keys)
     left, right = with_keys(current, keys), distinct_keys(increments, CleanKeys(keys) if clean_increments else keys)
     if broadcast_keys:
@@ -58,7 +60,7 @@ def _existence(current, increments, keys, how, broadcast_keys, clean_increments,
         right = right.toDF(*right_names)
         found = left.join(F.broadcast(right), keys_equal(left, right, names, right_names, null_safe=True), how)
     else:
-        found = skewed_join(left, right, names, how, right_unique=True, null_safe=True, rows_per_slice=rows_per_slice)
+        found = skewed_join(left, right, names, how, right_unique=True, null_safe=True, rows_per_slice=rows_per_slice, left_rows=rows)
     return found.select(*[F.col(f"`{c}`") for c in current.columns])
 
 
@@ -72,13 +74,15 @@ def tag_increments(
     tie_breakers: Sequence[str] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
     gate: bool = True,
+    rows: int | None = None,
 ) -> DataFrame:
     """Increment rows with `status` and `__previous`, the values of the table's latest row of the key.
 
     status: 'excluded' (by `excluded`), 'stale', 'new', 'updated' or 'unchanged'. The newest version of a key and
     its latest row come from the same row, so one join serves the gate, the split into new and matched rows and
     the change log. `touched` is the table, or the part of it that shares keys with the increments.
-    `clean_increments` says that the increments went through `clean_strings`. Without `gate` no row is stale.
+    `clean_increments` says that the increments went through `clean_strings`. Without `gate` no row is stale. `rows`: number
+    of increment rows, if known.
     """
     columns = sync.compare_columns(increments, keys, version)
     types = dict(increments.dtypes)
@@ -91,6 +95,7 @@ def tag_increments(
         right_unique=True,
         null_safe=True,
         rows_per_slice=rows_per_slice,
+        left_rows=rows,
     )
     old_types = {f.name: f.dataType.simpleString() for f in paired.schema["__previous"].dataType.fields}
     changed = F.lit(False)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from refsync.config import FeedSpec, SyncSettings, TableSpec
 from refsync.functions.keys import CleanKeys
 from refsync.operators import audit, checks, classify as classifying, clean, feed, sync as syncing, tagging
-from refsync.operators.skew import ROWS_PER_SLICE
+from refsync.operators.skew import ROWS_PER_SLICE, HotKeys, stage_summarised
 from refsync.sources import audit_store, check_store, files, outputs, snapshots, storage
 
 log = logging.getLogger(__name__)
@@ -124,11 +124,12 @@ def _sync_increment(
     met = snapshots.buckets_of(typed, layout) if layout and same_rules else None
     current = snapshots.read_snapshot(spark, table_root, buckets=met)
     clean.require_columns(current, keys)
-    few = tagging.few_keys(typed.count(), current.count())  # both from Parquet footers
-    touched = tagging.touched_rows(current, typed, keys, few, True, rows_per_slice)
+    increment_rows, table_rows = typed.count(), current.count()  # both from Parquet footers
+    few = tagging.few_keys(increment_rows, table_rows)
+    touched = tagging.touched_rows(current, typed, keys, few, True, rows_per_slice, table_rows)
     tagged = storage.stage(
         tagging.tag_increments(
-            touched, typed, keys, version, _excluded(typed, spec), True, rows_per_slice=rows_per_slice, gate=gate
+            touched, typed, keys, version, _excluded(typed, spec), True, rows_per_slice=rows_per_slice, gate=gate, rows=increment_rows
         ),
         "tagged",
     )
@@ -137,7 +138,7 @@ def _sync_increment(
     winners = storage.stage(syncing.latest_wins(accepted, clean_keys, version).drop(*syncing.LINEAGE), "winners")
     written_buckets = snapshots.buckets_of(winners, layout) if layout and same_rules else None
     replaced = current if written_buckets is None else snapshots.read_snapshot(spark, table_root, buckets=written_buckets)
-    kept = tagging.untouched_rows(replaced, winners, keys, few, True, rows_per_slice)
+    kept = tagging.untouched_rows(replaced, winners, keys, few, True, rows_per_slice, table_rows)
     updated = _exclude(kept.unionByName(winners, allowMissingColumns=True), spec)
     if layout is None:
         part = snapshot = snapshots.write_data(updated, table_root)
@@ -154,7 +155,7 @@ def _sync_increment(
         "rows_by_date": audit.rows_by_date(accepted, version, has_source),
         "new_rows": tagged.filter(F.col("status") == "new").drop("__previous", "status", *syncing.LINEAGE),
         "field_changes": tagging.tagged_changes(tagged, keys, version),
-        "duplicate_versions": syncing.duplicate_versions(accepted, clean_keys, rows_per_slice),
+        "duplicate_versions": syncing.duplicate_versions(accepted, clean_keys, rows_per_slice, increment_rows),
         "table_duplicate_keys": checks.table_duplicate_keys(current, winners, keys),
         "stale_rows": tagged.filter(F.col("status") == "stale").drop("__previous", "status"),
     }
@@ -165,7 +166,7 @@ def _sync_increment(
         facts_root = f"{audit_root}/check_facts"
         facts_base = snapshots.sequence(spark, facts_root)
         if same_rules and check_store.is_current(spark, facts_root, state.snapshot):
-            gone = tagging.touched_rows(replaced, winners, keys, few, True, rows_per_slice)
+            gone = tagging.touched_rows(replaced, winners, keys, few, True, rows_per_slice, table_rows)
             change = _facts(winners, spec).unionByName(_facts(gone, spec, -1))
             fact_part = check_store.prepare(spark, facts_root, storage.stage(change, "fact-changes"))
         else:
@@ -414,26 +415,39 @@ def integrate(
 ) -> DataFrame:
     """Daily feed rows with their candidates, vendor details, date check, mapped codes, price and duplicate flag.
 
-    The baseline, the feed and the two steps that multiply rows are staged, so no later join (or its search for
-    heavy keys) computes them again.
+    The baseline, the feed, the candidates (narrow) and the mapped rows are staged. Row counts and frequent keys are found
+    while they are written, so building a join starts no count of its own side. Run it and the write of its result inside
+    `storage.discard_staged` to have the staged tables deleted.
     """
     row_keys = [roles.source, roles.index]
-    base = storage.stage(prepare_baseline(table, spec), "baseline")
+    base, of_base = stage_summarised(prepare_baseline(table, spec), "baseline")
     lookups = baseline_lookups(base, spec)
-    daily = storage.stage(daily, "daily")
+    parts = ([roles.distributor_part], [roles.manufacturer_part])
+    codes = ([roles.manufacturer_code], [roles.vendor_code])
+    daily, of_daily = stage_summarised(daily, "daily", *parts, *codes)
     routes = {
         "DPN": (roles.distributor_part, lookups.by_distributor_part),
         "MPN": (roles.manufacturer_part, lookups.by_manufacturer_part),
     }
-    found = feed.match_candidates(daily, routes, row_keys, rows_per_slice)
-    collapsed = storage.stage(
-        feed.collapse_candidates(
-            daily, found, row_keys, roles.candidate, roles.candidate_source, legacy_null_join, rows_per_slice
-        ),
-        "candidates",
+    found, of_found = stage_summarised(
+        feed.match_candidates(daily, routes, row_keys, rows_per_slice, of_daily, of_base.rows), "candidates", ["candidate"]
+    )
+    collapsed = feed.collapse_candidates(
+        daily, found, row_keys, roles.candidate, roles.candidate_source, legacy_null_join, rows_per_slice, of_found.rows
     )
+    heavy = of_found.hot(found, ["candidate"], rows_per_slice)
+    if of_daily.rows > rows_per_slice:
+        heavy = None  # feed rows without a candidate share a blank one, which may be heavy: count
     enriched = feed.enrich(
-        collapsed, lookups, roles.candidate, roles.plant, roles.distributor, spec.account_prefix_length, rows_per_slice
+        collapsed,
+        lookups,
+        roles.candidate,
+        roles.plant,
+        roles.distributor,
+        spec.account_prefix_length,
+        rows_per_slice,
+        None if heavy is None else HotKeys((roles.candidate,), None if heavy.table is None else heavy.table.toDF(roles.candidate, "slices")),
+        of_base.rows,
     )
     p = spec.baseline_prefix
     status = feed.date_match_status(
@@ -450,22 +464,24 @@ def integrate(
             roles.highest_price: price,
         }
     )
-    enriched = storage.stage(enriched, "enriched")
-    mapped = feed.map_codes(
-        enriched, manufacturer_map, roles.manufacturer_code, *roles.manufacturer_mapping, rows_per_slice
-    )
-    mapped = feed.map_codes(mapped, vendor_map, roles.vendor_code, *roles.vendor_mapping, rows_per_slice)
-    mapped = storage.stage(mapped.withColumnRenamed(roles.candidate, p + spec.item), "mapped")
-    return feed.flag_duplicates(mapped, row_keys, rows_per_slice=rows_per_slice)
+    mapped = enriched
+    for mapping, column, names in (
+        (manufacturer_map, roles.manufacturer_code, roles.manufacturer_mapping),
+        (vendor_map, roles.vendor_code, roles.vendor_mapping),
+    ):
+        # a feed row became several rows at most as often as it has candidates, so a frequent code is one of the feed
+        mapped = feed.map_codes(mapped, mapping, column, *names, rows_per_slice, of_daily.hot(daily, [column], rows_per_slice))
+    mapped, of_mapped = stage_summarised(mapped.withColumnRenamed(roles.candidate, p + spec.item), "mapped")
+    return feed.flag_duplicates(mapped, row_keys, rows_per_slice=rows_per_slice, rows=of_mapped.rows)
 
 
 def write_integrated(
     integrated: DataFrame, folder: str, output_format: str = "parquet", prefix: str = "integrated", roles: FeedSpec = FeedSpec()
 ) -> str:
     """Write the integrated feed; the name carries the range of its time stamps."""
-    staged = storage.stage(integrated, "integrated")
-    name = f"{prefix}_{outputs.date_range(staged, roles.stamp, [roles.stamp_format])}"
-    return outputs.write_named(staged, folder, name, output_format)
+    stamps = integrated.select(roles.stamp) if roles.stamp in integrated.columns else integrated
+    name = f"{prefix}_{outputs.date_range(stamps, roles.stamp, [roles.stamp_format])}"
+    return outputs.write_named(integrated, folder, name, output_format)
 
 
 def classify(integrated: DataFrame, spec: TableSpec = TableSpec(), legacy: bool = False) -> DataFrame:
@@ -507,8 +523,32 @@ def run_all(
     synced = sync(spark, drop_folder, f"{root}/table", f"{root}/audit", spec, settings, permitted)
     table = snapshots.read_snapshot(spark, f"{root}/table")
     daily = files.read_daily(spark, daily_folder, roles.date_columns, settings.file_format, daily_glob)
-    integrated = integrate(daily, table, manufacturer_map, vendor_map, spec, roles)
-    integrated_path = write_integrated(integrated, f"{root}/integrated", roles=roles)
-    snapshot = classify_to_snapshot(spark.read.parquet(integrated_path), f"{root}/classified", spec)
-    exported = export(spark, f"{root}/classified", f"{root}/exports", roles, spec)
+    audit_root = f"{root}/audit"
+
+    def recorded(kind: str, work, rows):
+        """Run a step and record it; a step that fails is recorded, too."""
+        started, run_id = time.monotonic(), f"{kind}-{uuid.uuid4().hex[:8]}"
+        record = {"run_id": run_id, "kind": kind}
+        try:
+            result = work()
+        except Exception:
+            audit_store.record_run(spark, audit_root, **record, state="failed", seconds=time.monotonic() - started)
+            raise
+        audit_store.record_run(spark, audit_root, **record, state="done", seconds=time.monotonic() - started, row_count=rows(result))
+        return result
+
+    def integrated_step() -> str:
+        with storage.discard_staged(spark):
+            integrated = integrate(daily, table, manufacturer_map, vendor_map, spec, roles)
+            return write_integrated(integrated, f"{root}/integrated", roles=roles)
+
+    count = lambda path: None if path is None else spark.read.parquet(path).count()  # noqa: E731  (from footers)
+    integrated_path = recorded("integrate", integrated_step, count)
+    classified_root = f"{root}/classified"
+    snapshot = recorded(
+        "classify",
+        lambda: classify_to_snapshot(spark.read.parquet(integrated_path), classified_root, spec),
+        lambda _: snapshots.state(spark, classified_root).rows,
+    )
+    exported = recorded("export", lambda: export(spark, classified_root, f"{root}/exports", roles, spec), lambda _: None)
     return {"sync": synced, "integrated": integrated_path, "classified": snapshot, "exported": exported}

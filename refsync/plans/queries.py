@@ -16,7 +16,7 @@ from refsync.functions import text
 from refsync.operators import audit, checks, classify, clean, feed, sync, tagging
 from refsync.plans import jobs
 from refsync.plans import sample_tables as t
-from refsync.sources import files, outputs, snapshots, storage
+from refsync.sources import audit_store, check_store, files, outputs, snapshots, storage
 from refsync.streaming import sync_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1227,3 +1227,158 @@ def small_changes(spark, sf_dir):
         F.when(F.col("o_orderkey") % 2 == 0, 4e-7).otherwise(1e-7).alias("share"),
     )
     return sync.changes_by_column(sync.field_changes(old, new, ["o_orderkey"], "day"))
+
+
+# --- tables in buckets, checks as facts, runs -----------------------------------------------------------------
+
+_TABLE_COLUMNS = {
+    "item": "PMM Item Number",
+    "account": "Corp Acct",
+    "vendor": "Vendor Code",
+    "centre": "Additional Cost Centre",
+    "gl": "Additional GL Account",
+    "updated": "Item Update Date",
+    "vendor_name": "Vendor Name",
+    "seq": "Vendor Seq",
+    "contract_no": "Contract No",
+    "contract_item": "Contract Item",
+    "catalogue": "Vendor Catalogue",
+    "manufacturer_catalogue": "Manufacturer Catalogue",
+    "description": "Item Description",
+    "eff": "Contract EFF Date",
+    "exp": "Contract EXP Date",
+    "price": "Default UOM Price",
+}
+
+#: `final`: the table after all increments of `_SYNC_SQL`, every column.
+_FINAL_SQL = f"""{_SYNC_SQL},
+final AS (
+  SELECT {", ".join(_TABLE_COLUMNS)} FROM start_rows s WHERE NOT EXISTS (
+    SELECT 1 FROM accepted a WHERE a.item = s.item AND a.account = s.account AND a.vendor = s.vendor
+    AND a.centre = s.centre AND a.gl IS NOT DISTINCT FROM s.gl)
+  UNION ALL
+  SELECT DISTINCT ON (item, account, vendor, centre, gl) {", ".join(_TABLE_COLUMNS)} FROM accepted
+  ORDER BY item, account, vendor, centre, gl, updated DESC
+)"""
+
+
+def _issue_rows_sql(table: str) -> str:
+    several = "GROUP BY {0} HAVING count(DISTINCT {1}) > 1"
+    subject = "item, vendor, left(account, 2)"
+    return f"""
+SELECT 'one_to_one' AS "check", contract_no AS part1, '' AS part2, '' AS part3, vendor AS value, NULL AS detail, count(*) AS rows
+FROM {table} WHERE contract_no IN (SELECT contract_no FROM {table} {several.format("contract_no", "vendor")}) GROUP BY ALL
+UNION ALL
+SELECT 'blank_value', item, '', '', NULL, NULL, count(*) FROM {table} WHERE catalogue IS NULL GROUP BY item
+UNION ALL
+SELECT 'consistent_value', item, vendor, left(account, 2), catalogue, seq, count(*) FROM {table}
+WHERE catalogue IS NOT NULL AND ({subject}) IN (
+  SELECT ({subject}) FROM {table} WHERE catalogue IS NOT NULL {several.format(subject, "catalogue")})
+GROUP BY ALL"""
+
+
+def _table_columns(table: DataFrame) -> DataFrame:
+    names = {name: F.col(f"`{column}`") for name, column in _TABLE_COLUMNS.items()}
+    return table.select(*[c.cast("bigint").alias(n) if n == "price" else c.alias(n) for n, c in names.items()])
+
+
+@query("issue_rows", f"WITH {t.CONTRACT_SQL} {_issue_rows_sql('contract')}")
+def issue_rows(spark, sf_dir):
+    """The checks in long form: one scan, one row per value."""
+    spec = TableSpec()
+    roles = (spec.contract, spec.vendor, spec.catalogue, spec.item, spec.account, spec.sequence)
+    return checks.issue_rows(checks.check_facts(t.contract_rows(spark, sf_dir), *roles))
+
+
+def _synced_in_batches(spark: SparkSession, sf_dir: str, batches: int = 3) -> tuple[str, str]:
+    """A table in buckets and the increments of `sync_job` in several batches: (table root, audit root)."""
+    spec = TableSpec()
+    root, audit_root = storage.new_path(spark, "table"), storage.new_path(spark, "audit")
+    jobs.full_refresh(spark, root, audit_root, t.contract_rows(spark, sf_dir), spec, buckets=32)
+    increments = storage.stage(clean.clean_strings(t.contract_increments(spark, sf_dir)), "increments")
+    batch = F.pmod(F.xxhash64(f"`{spec.keys[3]}`"), F.lit(batches))
+    for i in range(batches):
+        jobs.sync_increment(spark, root, audit_root, increments.filter(batch == i), spec)
+    return root, audit_root
+
+
+@query("sync_job_buckets", f"WITH {_FINAL_SQL} SELECT * FROM final")
+def sync_job_buckets(spark, sf_dir):
+    """A full refresh into buckets, then the whole sync job per batch; every column of the table."""
+    root, _ = _synced_in_batches(spark, sf_dir)
+    return _table_columns(snapshots.read_snapshot(spark, root))
+
+
+@query("issues_by_batch", f"WITH {_FINAL_SQL} {_issue_rows_sql('final')}")
+def issues_by_batch(spark, sf_dir):
+    """The issues that were kept up batch by batch are those of the final table."""
+    _, audit_root = _synced_in_batches(spark, sf_dir)
+    return check_store.issues(spark, f"{audit_root}/check_facts")
+
+
+@query("full_refresh_job", f"WITH {_SYNC_SQL} SELECT {', '.join(_TABLE_COLUMNS)} FROM start_rows")
+def full_refresh_job(spark, sf_dir):
+    """A dropped full file replaces the table; every column."""
+    spec, settings = TableSpec(), SyncSettings(full_glob="*.csv", buckets=16)
+    folder, root, audit_root = (storage.new_path(spark, label) for label in ("drop", "table", "audit"))
+    snapshots.write_snapshot(_start_table(spark, sf_dir, spec).limit(0), root)
+    t.contract_rows(spark, sf_dir).repartition(3).write.option("header", "true").option("escape", '"').csv(folder)
+    if jobs.sync(spark, folder, root, audit_root, spec, settings).kind != "full":
+        raise ValueError("the full files were not taken")
+    return _table_columns(snapshots.read_snapshot(spark, root))
+
+
+@query("stream_sync_csv", f"WITH {_FINAL_SQL} SELECT * FROM final")
+def stream_sync_csv(spark, sf_dir):
+    """The increments dropped as CSV files and synced as a stream, a file per micro-batch; every column of the table."""
+    spec, settings = TableSpec(), SyncSettings(increment_glob="*.csv", full_glob="none*", max_files=1)
+    folder, root, audit_root, checkpoint = (storage.new_path(spark, label) for label in ("drop", "table", "audit", "checkpoint"))
+    snapshots.write_snapshot(_start_table(spark, sf_dir, spec), root, layout=jobs.table_layout(spec, 16))
+    increments = t.contract_increments(spark, sf_dir).drop(*sync.LINEAGE)
+    increments.repartition(2).write.option("header", "true").option("escape", '"').csv(folder)
+    sync_stream.sync_folder_stream(spark, folder, root, audit_root, checkpoint, spec, settings).awaitTermination()
+    return _table_columns(snapshots.read_snapshot(spark, root))
+
+
+@query(
+    "run_status",
+    f"""WITH {_FINAL_SQL}, issues AS ({_issue_rows_sql("final")})
+SELECT 'increment' AS kind, (SELECT count(*) FROM final) AS row_count,
+       count(*) FILTER (held IS NULL) AS new_rows,
+       count(*) FILTER (held IS NOT NULL AND updated > held AND contract_item = 'Y') AS updated_rows,
+       count(*) FILTER (held IS NOT NULL AND coalesce(updated <= held, true)) AS skipped_rows,
+       (SELECT count(DISTINCT part1) FROM issues WHERE "check" = 'one_to_one') AS one_to_one,
+       (SELECT sum(rows)::BIGINT FROM issues WHERE "check" = 'blank_value') AS blank_value,
+       (SELECT count(DISTINCT (part1, part2, part3)) FROM issues WHERE "check" = 'consistent_value') AS consistent_value
+FROM increments i LEFT JOIN held h ON i.item = h.item AND i.account = h.account AND i.vendor = h.vendor
+  AND i.centre = h.centre AND i.gl IS NOT DISTINCT FROM h.gl""",
+)
+def run_status(spark, sf_dir):
+    """What the run history says about the sync job."""
+    spec = TableSpec()
+    root, audit_root = storage.new_path(spark, "table"), storage.new_path(spark, "audit")
+    snapshots.write_snapshot(_start_table(spark, sf_dir, spec), root)
+    jobs.sync_increment(spark, root, audit_root, clean.clean_strings(t.contract_increments(spark, sf_dir)), spec)
+    counts = ("row_count", "new_rows", "updated_rows", "skipped_rows", "one_to_one", "blank_value", "consistent_value")
+    return audit_store.runs(spark, audit_root).select("kind", *counts)
+
+
+@query(
+    "quarantined_rows",
+    """SELECT CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey || ',' || o_custkey || ',surplus,value' ELSE o_orderkey || '' END AS text
+FROM orders WHERE o_orderkey % 10 = 0 OR o_orderkey % 7 = 0""",
+)
+def quarantined_rows(spark, sf_dir):
+    """Rows of dropped CSV files with too many or too few fields, as they stand in the files."""
+    folder = storage.new_path(spark, "drop")
+    orders = t.load(spark, sf_dir, "orders")
+    damaged = """CASE WHEN o_orderkey % 10 = 0 THEN concat(o_orderkey, ',', o_custkey, ',surplus,value')
+                      WHEN o_orderkey % 7 = 0 THEN CAST(o_orderkey AS STRING)
+                      ELSE concat(o_orderkey, ',', o_custkey) END"""
+    lines = orders.select(F.explode(F.split(F.expr(damaged), "\n")).alias("value"))
+    header = spark.range(0, 4, 1, 4).select(F.lit("key,customer").alias("value"))
+    dealt = lines.withColumn("place", F.pmod(F.xxhash64("value"), F.lit(4))).withColumn("first", F.lit(1))
+    heads = header.select("value", F.monotonically_increasing_id().alias("id")).select("value", F.shiftright("id", 33).alias("place"), F.lit(0).alias("first"))
+    dealt.unionByName(heads).repartitionByRange(4, "place").sortWithinPartitions("place", "first").select("value").write.text(folder)
+    paths = files.select_files(spark, folder, "*.txt")
+    return files.quarantined_rows(spark, paths).select("text")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,7 +150,7 @@ def _read_group(
 def quarantined_rows(spark: SparkSession, paths: Sequence[str], source: str = "source_file", multi_line: bool = False) -> DataFrame:
     """(file name, text) of the CSV rows that do not fit the header of their file."""
     found = None
-    for schema, members in _by_header(spark, paths, "csv", "fail")[0]:
+    for schema, members in _by_header(spark, paths, "csv", "fail", multi_line)[0]:
         rows = with_source_file(_parsed(spark, "csv", schema, members, multi_line), source)
         own = rows.filter(_is_bad(schema)).select(source, F.col(BAD_ROW).alias("text"))
         found = own if found is None else found.union(own)
@@ -200,17 +202,22 @@ def select_files(
     return choose_files(spark, path, glob, exclude_glob, recursive, max_files, newest_only, applied).paths
 
 
-def _by_header(
+def _unreadable(error: Exception) -> bool:
+    """Whether an error is about a file's content. (A lost executor or a missing permission is not.)"""
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    return isinstance(error, AnalysisException) or (condition or "").startswith(("FAILED_READ_FILE", "MALFORMED"))
+
+
+def _one_by_one(
     spark: SparkSession, paths: Sequence[str], file_format: str, on_error: str
 ) -> tuple[list[tuple[T.StructType, list[str]]], list[str]]:
-    """(files with the same header together, unreadable files)."""
     groups: dict[tuple, tuple[T.StructType, list[str]]] = {}
     unreadable = []
     for path in paths:
         try:
             schema = _reader(spark, file_format).load(path).schema
         except Exception as error:
-            if on_error != "skip":
+            if on_error != "skip" or not _unreadable(error):
                 raise
             log.warning("left out %s: %s", path, error)
             unreadable.append(path)
@@ -220,6 +227,61 @@ def _by_header(
     return list(groups.values()), unreadable
 
 
+def header_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, header): the first line with content of each text file, in one job over the files' first blocks."""
+    lines = spark.read.text(list(paths)).filter((F.trim("value") != "") & (F.col("_metadata.file_block_start") == 0))
+    located = lines.select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("id"))
+    return located.groupBy("path").agg(F.min_by("value", "id").alias("header"))
+
+
+def _by_header(
+    spark: SparkSession, paths: Sequence[str], file_format: str, on_error: str, multi_line: bool = False
+) -> tuple[list[tuple[T.StructType, list[str]]], list[str]]:
+    """(files with the same header together, unreadable files).
+
+    The headers of CSV files are read by one job; the driver gets a line per file and asks Spark for the schema of one file
+    per distinct header. Files without a line, and headers that may go over several lines, are looked at one by one.
+    """
+    if file_format != "csv" or multi_line or len(paths) < 2:
+        return _one_by_one(spark, paths, file_format, on_error)
+    try:
+        found = {r["path"]: r["header"] for r in header_lines(spark, paths).collect()}
+    except Exception as error:
+        if on_error != "skip" or not _unreadable(error):
+            raise
+        return _one_by_one(spark, paths, file_format, on_error)
+    # Spark writes paths in its own form: with a scheme, blanks encoded
+    named = {_plain(path): header for path, header in found.items()}
+    by_line: dict[str | None, list[str]] = {}
+    for path in paths:
+        by_line.setdefault(named.get(_plain(path)), []).append(path)
+    rest = by_line.pop(None, [])
+    groups: dict[tuple, tuple[T.StructType, list[str]]] = {}
+    for members in by_line.values():
+        schema = _reader(spark, file_format).load(members[0]).schema
+        groups.setdefault(tuple((f.name, f.dataType.simpleString()) for f in schema.fields), (schema, []))[1].extend(members)
+    others, unreadable = _one_by_one(spark, rest, file_format, on_error)
+    for schema, members in others:
+        groups.setdefault(tuple((f.name, f.dataType.simpleString()) for f in schema.fields), (schema, []))[1].extend(members)
+    return list(groups.values()), unreadable
+
+
+def _plain(path: str) -> str:
+    """A path without scheme and encoding, to compare the forms Spark and file systems give it."""
+    return unquote(re.sub(r"^\w+:(//[^/]*)?", "", path))
+
+
+def _united_parquet(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]] | None:
+    """Parquet files with compatible columns as one group: executors read the footers. None if types contradict."""
+    try:
+        return [(spark.read.option("mergeSchema", "true").parquet(*paths).schema, list(paths))]
+    except Exception as error:
+        condition = error.getCondition() if isinstance(error, PySparkException) else None
+        if _unreadable(error) or condition == "CANNOT_MERGE_SCHEMAS":
+            return None
+        raise
+
+
 def read_files(
     spark: SparkSession,
     paths: Sequence[str],
@@ -242,7 +304,8 @@ def read_files(
     if file_format == "json" and not same_columns and on_error != "skip" and paths:
         groups, unreadable = [(_reader(spark, file_format).load(list(paths)).schema, list(paths))], []  # read by name
     else:
-        groups, unreadable = _by_header(spark, paths, file_format, on_error)
+        united = _united_parquet(spark, paths) if file_format == "parquet" and not same_columns and len(paths) > 1 else None
+        groups, unreadable = (united, []) if united else _by_header(spark, paths, file_format, on_error, multi_line)
     rows = None
     for schema, members in groups:
         group = _read_group(spark, file_format, schema, members, source, stem, index, on_bad_rows, multi_line)
@@ -288,12 +351,18 @@ def read_daily(
     glob: str | None = None,
     source: str = "Source_File",
     index: str = "Index",
+    on_error: str = "fail",
+    on_bad_rows: str = "fail",
 ) -> DataFrame:
-    """Daily feed: all files must have the same columns; dates parsed, file name first. No file is an error."""
+    """Daily feed: all files must have the same columns; dates parsed, file name first. No (readable) file is an error."""
     paths = select_files(spark, path, glob)
     if not paths:
         raise ValueError(f"no daily files in {path}")
-    rows = read_files(spark, paths, file_format, source, index, stem=True, same_columns=True).rows
+    rows = read_files(
+        spark, paths, file_format, source, index, stem=True, same_columns=True, on_error=on_error, on_bad_rows=on_bad_rows
+    ).rows
+    if rows is None:
+        raise ValueError(f"no readable daily files in {path}")
     return clean.reorder(clean.parse_dates(rows, date_columns), [source])
 
 
