@@ -14,8 +14,9 @@ component; in the last round the sets of a key that are still in different compo
 blocks inside tasks that give out nothing but the pairs left; a key with more than `KEY_SETS` sets is divided into blocks
 of sets, and every two of its blocks meet in a task of their own.
 Links inside a component do not change it, so components are exact. Before its shingles are compared, a pair must pass
-an exact bound: parities of the shingles' hashes in bins (256, more for large sets; `FINE` times as many in the last
-round) differ in no more places than the sets differ.
+an exact bound: parities of the shingles' hashes in bins (256, more for large sets) differ in no more places than the
+sets differ. In the last round the sets of a key meet with `COARSE` times as many bins, and the pairs that are left are
+looked at once more with `FINE` times as many.
 
 Definitions: words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. A set with fewer than k words holds its whole word
 sequence; without words it is empty and linked with nothing, as are null texts. Two documents link when
@@ -39,7 +40,7 @@ from refsync.llm.components import connected_components
 from refsync.sources.storage import discard_staged, stage
 
 PARITY_BINS = 256
-FINE = 8
+COARSE, FINE = 2, 16
 STAR_ROUNDS = 2
 #: Sets of a key that meet in one task in the last round, and pairs that are compared at once.
 KEY_SETS, PAIR_BLOCK = 4096, 1 << 15
@@ -202,13 +203,13 @@ def _shingle_sets(k: int) -> Callable:
     return run
 
 
-def _sketches(k: int) -> Callable:
-    """Sets with fine parity bins."""
+def _sketches(k: int, fine: int) -> Callable:
+    """Sets with finer parity bins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, hashes, offsets in _sets(batch.column(1), k):
-                columns = [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), *_parity(hashes, offsets, FINE)]
+                columns = [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), *_parity(hashes, offsets, fine)]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "n", "parity", "half"])
 
     return run
@@ -361,6 +362,13 @@ def _components(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -
         linked = shared * 100 >= (F.size("a_set") + F.size("b_set") - shared) * percent
         return stage(both.filter(linked).select("a", "b"), "jaccard-links")
 
+    def sketched(named: DataFrame, fine: int) -> DataFrame:
+        """(node, n, parity, half) of the sets of some documents, one row per set."""
+        named = stage(named.distinct(), "jaccard-named")
+        wanted = docs.join(_small(named, BROADCAST_IDS), "doc_id", "left_semi").select("doc_id", "text")
+        found = wanted.mapInArrow(_sketches(k, fine), "node bigint, n bigint, parity array<bigint>, half array<bigint>")
+        return stage(found, "jaccard-fine")
+
     links, tried = None, None
     labelled = members.withColumn("component", F.col("node"))
     for mask in [*ROUND_MASKS[:STAR_ROUNDS], None]:
@@ -380,16 +388,17 @@ def _components(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -
             groups = labelled.groupBy("key").agg(*counts).filter("low < high")
             groups = stage(groups.select("key", F.ceil(F.col("sets") / KEY_SETS).cast("int").alias("parts")), "jaccard-open")
             rest = stage(labelled.join(groups, "key").select("key", "node", "component", "parts"), "jaccard-rest")
-            named = stage(rest.select(F.col("node").alias("doc_id")).distinct(), "jaccard-left")
-            wanted = docs.join(_small(named, BROADCAST_IDS), "doc_id", "left_semi").select("doc_id", "text")
-            fine = stage(wanted.mapInArrow(_sketches(k), "node bigint, n bigint, parity array<bigint>, half array<bigint>").join(info.select("node"), "node", "left_semi"), "jaccard-fine")
+            coarse = sketched(rest.select(F.col("node").alias("doc_id")), COARSE)
             # every block of a divided key meets every block of it, itself included
             rest = rest.withColumn("own", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("parts")).cast("int"))
             rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             meeting = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group")
-            met = rest.select(meeting, "node", "component", "own", "other").join(fine, "node")
+            met = rest.select(meeting, "node", "component", "own", "other").join(coarse, "node")
             met = met.repartition("group").sortWithinPartitions("group", "n")
-            pairs = met.mapInArrow(_compared(percent), "a bigint, b bigint").distinct()
+            close = stage(met.mapInArrow(_compared(percent), "a bigint, b bigint").distinct(), "jaccard-close")
+            fine = sketched(close.select(F.col("a").alias("doc_id")).union(close.select("b")), FINE)
+            side = lambda c: fine.select(*[F.col(x).alias(c if x == "node" else f"{c}_{x}") for x in fine.columns])
+            pairs = close.join(side("a"), "a").join(side("b"), "b").filter(_possible("a_", "b_", percent)).select("a", "b")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "jaccard-pairs")
