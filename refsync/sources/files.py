@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -151,6 +152,8 @@ def quarantined_rows(spark: SparkSession, paths: Sequence[str], source: str = "s
     """(file name, text) of the CSV rows that do not fit the header of their file."""
     found = None
     for schema, members in _by_header(spark, paths, "csv", "fail", multi_line)[0]:
+        if not schema.fields:
+            continue
         rows = with_source_file(_parsed(spark, "csv", schema, members, multi_line), source)
         own = rows.filter(_is_bad(schema)).select(source, F.col(BAD_ROW).alias("text"))
         found = own if found is None else found.union(own)
@@ -202,10 +205,18 @@ def select_files(
     return choose_files(spark, path, glob, exclude_glob, recursive, max_files, newest_only, applied).paths
 
 
+def _condition(error: Exception) -> str:
+    """Spark's name of an error condition, '' if it has none."""
+    if isinstance(error, PySparkException) and error.getCondition():
+        return error.getCondition()
+    text = error.java_exception.getMessage() if isinstance(error, Py4JJavaError) else str(error)
+    named = re.match(r"\s*\[([A-Z_]+(?:\.[A-Z_]+)*)\]", text or "")
+    return named.group(1) if named else ""
+
+
 def _unreadable(error: Exception) -> bool:
     """Whether an error is about a file's content. (A lost executor or a missing permission is not.)"""
-    condition = error.getCondition() if isinstance(error, PySparkException) else None
-    return isinstance(error, AnalysisException) or (condition or "").startswith(("FAILED_READ_FILE", "MALFORMED"))
+    return isinstance(error, AnalysisException) or _condition(error).startswith(("FAILED_READ_FILE", "MALFORMED"))
 
 
 def _one_by_one(
@@ -276,8 +287,7 @@ def _united_parquet(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.S
     try:
         return [(spark.read.option("mergeSchema", "true").parquet(*paths).schema, list(paths))]
     except Exception as error:
-        condition = error.getCondition() if isinstance(error, PySparkException) else None
-        if _unreadable(error) or condition == "CANNOT_MERGE_SCHEMAS":
+        if _unreadable(error) or _condition(error) == "CANNOT_MERGE_SCHEMAS":
             return None
         raise
 
@@ -298,7 +308,7 @@ def read_files(
 
     Files with the same header are read together. (One read over files with different headers would take the
     columns by position.) `same_columns=True` demands one header. `on_error='skip'` leaves out files whose header
-    cannot be read and lists them. CSV rows that do not fit their header stop the run, or with
+    cannot be read and lists them. Empty files have no rows. CSV rows that do not fit their header stop the run, or with
     `on_bad_rows='quarantine'` are left out (`quarantined_rows` shows them). `multi_line` allows quoted line breaks.
     """
     if file_format == "json" and not same_columns and on_error != "skip" and paths:
@@ -308,6 +318,8 @@ def read_files(
         groups, unreadable = (united, []) if united else _by_header(spark, paths, file_format, on_error, multi_line)
     rows = None
     for schema, members in groups:
+        if not schema.fields:
+            continue  # empty files
         group = _read_group(spark, file_format, schema, members, source, stem, index, on_bad_rows, multi_line)
         part = clean.clean_headers(group)
         if rows is None:
