@@ -66,12 +66,14 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by the rates that meet the target weights: good ones stay, toxic ones go, and a document whose rate
-    is over one is there more than once (a rare domain that is to have more tokens than it has)."""
+    """Documents drawn by the rates that meet the target weights, each at most once: good ones stay, toxic ones go.
+
+    The rates meet the targets; drawing a document once where its rate is over one leaves a rare domain short of its share
+    (figures in README). Documents are not repeated here, since the next stages would treat copies as documents."""
     labelled = mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     own = _own_names(docs, "doc_id", "text")
     mixed = mixing.mix(docs.withColumnsRenamed(own), labelled, budget_share=BUDGET_SHARE)
-    return mixing.draw(mixed).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
+    return mixing.draw(mixed, most=1).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
