@@ -205,18 +205,20 @@ def select_files(
     return choose_files(spark, path, glob, exclude_glob, recursive, max_files, newest_only, applied).paths
 
 
-def _condition(error: Exception) -> str:
-    """Spark's name of an error condition, '' if it has none."""
-    if isinstance(error, PySparkException) and error.getCondition():
-        return error.getCondition()
-    text = error.java_exception.getMessage() if isinstance(error, Py4JJavaError) else str(error)
-    named = re.match(r"\s*\[([A-Z_]+(?:\.[A-Z_]+)*)\]", text or "")
-    return named.group(1) if named else ""
+def _has_condition(error: Exception, *names: str) -> bool:
+    """Whether an error, or one behind it, has a condition whose name begins so."""
+    found = {error.getCondition() or ""} if isinstance(error, PySparkException) else set()
+    cause = error.java_exception if isinstance(error, Py4JJavaError) else None
+    text = f"{error}"
+    while cause is not None:
+        text, cause = f"{text}\n{cause.getMessage()}", cause.getCause()
+    found |= set(re.findall(r"\[([A-Z_]+(?:\.[A-Z_]+)*)\]", text))
+    return any(f.startswith(names) for f in found)
 
 
 def _unreadable(error: Exception) -> bool:
     """Whether an error is about a file's content. (A lost executor or a missing permission is not.)"""
-    return isinstance(error, AnalysisException) or _condition(error).startswith(("FAILED_READ_FILE", "MALFORMED"))
+    return isinstance(error, AnalysisException) or _has_condition(error, "FAILED_READ_FILE", "MALFORMED")
 
 
 def _one_by_one(
@@ -287,7 +289,7 @@ def _united_parquet(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.S
     try:
         return [(spark.read.option("mergeSchema", "true").parquet(*paths).schema, list(paths))]
     except Exception as error:
-        if _unreadable(error) or _condition(error) == "CANNOT_MERGE_SCHEMAS":
+        if _unreadable(error) or _has_condition(error, "CANNOT_MERGE_SCHEMAS"):
             return None
         raise
 
