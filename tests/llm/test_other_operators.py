@@ -230,6 +230,42 @@ def test_mixing_meets_the_targets(spark):
     assert mixing.mix(frame.limit(0), labelled).count() == 0
 
 
+def test_targets_with_overlapping_domains(spark):
+    """Against the same problem solved by many plain projected gradient steps in numpy."""
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([0.3, 0.2, 0.15], 400)
+    n = rng.integers(1, 300, 400).astype(float)
+    rows = [(i, int(t), *map(float, q)) for i, (t, q) in enumerate(zip(n, p, strict=True))]
+    judged = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, p_good double, p_junk double, p_toxic double")
+    targets = {"good": 0.7, "junk": 0.3, "toxic": 0.0}
+    for most in (None, 3.0):
+        found = mixing.fit(judged, mixing.DOMAINS, targets, 1.0, most=most)
+        held, wanted = n @ p, np.array([0.7, 0.3, 0.0]) * n.sum()
+        multipliers = np.zeros(3)
+        for _ in range(200_000):
+            rate = np.clip(1 - p @ multipliers, 0, most)
+            step = ((rate * n) @ p - wanted - mixing.PULL * held * multipliers) / held
+            multipliers = multipliers + step
+            if np.abs(step * held).sum() < 1e-7 * n.sum():
+                break
+        got = judged.select(found.rate.alias("rate")).toPandas()["rate"].to_numpy()
+        assert np.abs(got - rate).max() < 0.01 and got.min() >= 0
+        assert list(found.reached.values()) == pytest.approx(((rate * n) @ p).tolist(), abs=1e-3 * n.sum())
+    free = mixing.fit(judged, mixing.DOMAINS, targets, 1.0)
+    assert max(abs(free.reached[d] - free.wanted[d]) for d in free.wanted) < 1e-3 * n.sum()
+
+
+def test_labels_and_draws_of_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "good fine"), (2, "spam buy"), (3, "good")], "doc_id bigint, text string")
+    once = spark.createDataFrame([(1, 0), (2, 1)], "doc_id bigint, domain int")
+    often = once.union(once.filter("doc_id = 1").crossJoin(spark.range(50)).drop("id"))
+    prior, table = mixing.train(docs, often, 2)
+    assert np.exp(prior).tolist() == pytest.approx([51 / 52, 1 / 52])  # an id that is labelled often teaches often
+    rates = spark.range(4_000).select(F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 2).alias("doc_id"), F.lit(0.5).alias("rate"))
+    drawn = mixing.draw(rates.repartition(8)).groupBy("doc_id").count().collect()
+    assert all(500 < r["count"] < 840 for r in drawn) and len(drawn) == 3  # ids, and rows without one, are not drawn alike
+
+
 def test_label_domains(spark):
     rows = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1), (4, None, None), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
     assert {(r[0], r[1]) for r in mixing.label_domains(rows).collect()} == {(1, 0), (2, 1), (3, 2)}
@@ -260,6 +296,15 @@ def test_shards(spark, monkeypatch, ranges):
     assert sharding.shard(frame.limit(1)).collect()[0]["slot"] == 0
 
 
+def test_places_do_not_depend_on_what_travels(spark):
+    rng = random.Random(9)
+    rows = [(i, "t" * rng.randrange(1, 300) + str(i % 40), i) for i in range(300)] + [(7, "again", k) for k in range(400)] + [(None, None, 1), (None, None, 2)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, mark int")
+    wide, narrow = (sharding.shard(frame, keep=keep).select("doc_id", "text_crc32", "shard", "slot") for keep in (None, ["doc_id"]))
+    assert sorted(map(str, wide.collect())) == sorted(map(str, narrow.collect()))
+    assert sorted(r["mark"] for r in sharding.shard(frame).filter("text = 'again'").collect()) == list(range(400))
+
+
 def words_of(text):
     return (text or "").encode().lower().split()
 
@@ -327,6 +372,36 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
         assert all(r["component_id"] == "c" and r["rate"] == "r" for r in got)
 
 
+def test_stages_keep_columns_with_the_names_of_their_own(spark, tmp_path):
+    columns = ("lang_pred", "score", "shard", "slot", "size", "n_tokens", "p_good", "rate", "copy", "held_out")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    marked = docs.select("*", *[F.lit(f"my {c}").alias(c) for c in columns])
+    for name, step in corpus_pipeline.STAGES:
+        after = step(spark, marked, SF_DIR)
+        kept = [f"{c}_in" if name == "shards" and c in sharding.OUTPUTS else c for c in columns]
+        if name == "shards":
+            assert {"shard", "slot", "size"} <= set(after.columns)
+        else:
+            assert after.columns == marked.columns
+        assert {tuple(r) for r in after.select(*kept).collect()} == {tuple(f"my {c}" for c in columns)}
+
+
+def test_last_round_of_the_join_divides_hot_keys(spark, monkeypatch):
+    """Texts that are all nearly alike, so that few keys hold all sets: any division gives the same components."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(f"x{rng.randrange(10**6)}" if rng.random() < 0.05 else w for w in base) for _ in range(120)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets = [shingle_set(t, 3) for t in texts]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if 10 * len(sets[a] & sets[b]) >= 7 * len(sets[a] | sets[b])]
+    want = {i: i for i in range(len(sets))} | brute_components(links)
+    for size, rounds in ((4096, 2), (5, 0)):
+        monkeypatch.setattr(jaccard_join, "KEY_SETS", size)
+        monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", rounds)
+        got = jaccard_join.jaccard_components(frame, k=3, percent=70).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_items_by_size_class():
     items = decontaminate.Items([np.arange(1, 9, dtype=np.uint64) << np.uint64(58), np.array([5], np.uint64)], 0.8)
     assert items.whole == [1] or items.whole == [0, 1]
