@@ -3,7 +3,8 @@
 A classifier learned from a labelled table (naive Bayes over hashed words) gives each document a probability for every
 domain. Each document gets a rate, how often it is to be used (0: dropped, 1.5: once or twice). The expected tokens of
 domain k are the sum of rate * tokens * probability of k. The rates are those nearest to `start`, nonnegative and at most
-`most`, whose expected domain totals match the targets (least squares; the pull to `start` has the small weight `PULL`).
+`most`, whose expected domain totals match the targets (least squares; the pull to `start` has the small weight `PULL`, and
+a smaller one, down to `LEAST_PULL`, where it would keep the totals from the targets).
 They are found by projected gradient steps: gradients of the domains' errors are collected in one multiplier per domain,
 and a rate is the projection of `start` minus multipliers times probabilities onto its bounds. A step is scaled by the
 Gram matrix of the probabilities of documents whose rate is inside the bounds, damped towards the tokens of each domain
@@ -42,11 +43,11 @@ from refsync.sources.storage import stage
 BUCKETS = 1 << 14
 SAMPLE_ROWS = 20_000
 SMOOTHING = 0.5
-STEPS = 300
+STEPS = 120
 DAMPINGS = (0.0, 1e-3, 1e-2, 0.1, 1.0)
 PRECISION = 1e-5
 TOLERANCE = 1e-3
-PULL = 5e-4
+PULL, LEAST_PULL = 5e-4, 1e-6
 
 log = logging.getLogger(__name__)
 
@@ -173,23 +174,27 @@ def fit(judged: DataFrame, names: Sequence[str], targets: Mapping[str, float], b
         both = np.array([[row[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in k] for i in k])
         return np.array([row[f"s{i}"] for i in k]), both
 
-    slope = lambda m, g: g - wanted - PULL * owned * m
-    far = lambda e: np.abs(e).sum()
-    slope = lambda m, g: g - wanted - PULL * owned * m
-    multipliers = np.zeros(len(present))
+    slope = lambda m, g: g - wanted - pull * owned * m
+    met = lambda g: np.abs(g - wanted).max(initial=0) <= TOLERANCE * whole
+    multipliers, pull = np.zeros(len(present)), PULL
     got, gram = reached(multipliers)
     steps = 0
-    while steps < STEPS and np.abs(slope(multipliers, got)).sum() > PRECISION * whole:
+    while steps < STEPS:
         error = slope(multipliers, got)
+        if np.abs(error).sum() <= PRECISION * whole:
+            if met(got) or pull <= LEAST_PULL:
+                break
+            pull /= 10  # the pull to `start` keeps the totals from the targets: weaken it
+            continue
         # damped until the error falls; fully damped it is the plain step, in which a domain's error is divided by its tokens
         for damping in DAMPINGS:
-            move = np.linalg.solve(gram + np.diag((PULL + damping) * owned), error)
+            move = np.linalg.solve(gram + np.diag((pull + damping) * owned), error)
             new, new_gram = reached(multipliers + move)
             steps += 1
             if np.abs(slope(multipliers + move, new)).sum() < 0.95 * np.abs(error).sum():
                 break
         multipliers, got, gram = multipliers + move, new, new_gram
-    if np.abs(got - wanted).max(initial=0) > TOLERANCE * whole:
+    if not met(got):
         log.warning("targets cannot be met: wanted %s, reached %s tokens", dict(zip(present, wanted)), dict(zip(present, got)))
     told = lambda x: dict(zip(present, map(float, x), strict=True))
     return Fit(_rate(multipliers, present, start, most), told(wanted), told(got), steps)
