@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from refsync.functions import text
-from refsync.operators import checks, skew, sync
+from refsync.operators import checks, feed, skew, sync
+from refsync.plans import queries
+from refsync.sources import outputs
 
 ROLES = ("contract", "vendor", "cat", "item", "acct", "seq")
 
@@ -61,3 +63,36 @@ def test_trimmed_text_of_any_edge(spark):
     df = spark.createDataFrame([(x,) for x in [*edges, None]], "s string")
     got = [r[0] for r in df.select(text.trimmed(F.col("s"))).collect()]
     assert got == [None if x is None else x.strip(text.WHITESPACE) for x in [*edges, None]]
+
+
+def test_dates_of_text_that_no_format_fits(spark):
+    stamps = ["2024-01-05", "2024-1-5", "+2024-1-5", "+12024-1-5", "2024-Jan-05 03:04:05 PM", " 2024-1-5", "2024-13-1", "", None, "x"]
+    df = spark.createDataFrame([(s,) for s in stamps], "s string")
+    plain = F.try_to_timestamp(F.col("s"), F.lit("yyyy-M-d")).cast("date")
+    stamped = F.try_to_timestamp(F.col("s"), F.lit("yyyy-MMM-dd hh:mm:ss a")).cast("date")
+    days = outputs.date_of(df, "s", ["yyyy-M-d"]), outputs.date_of(df, "s", ["yyyy-MMM-dd hh:mm:ss a"])
+    got = df.select(*[c.cast("string") for c in (plain, days[0], stamped, days[1])]).collect()
+    assert all(a == b and c == d for a, b, c, d in got)
+    assert "RLIKE" in plan_of(df.select(days[0].alias("day")))  # a parser that fails costs an exception per row
+
+
+def test_lists_are_neither_dealt_nor_sorted_with_the_rows(spark):
+    empty = spark.createDataFrame([], "part string, item string")
+    details = spark.createDataFrame([("i", "A", "v", 1), ("i", "A", "v", 2)], "item string, prefix string, vendor string, d int")
+    lists = spark.createDataFrame([("i", "A", "1-v, 2-v")], "item string, prefix string, names string")
+    names = spark.createDataFrame([("i", "Item")], "item string, description string")
+    lookups = feed.Lookups("item", "prefix", "vendor", empty, empty, names, details, lists, details)
+    rows = spark.createDataFrame([(1, "i", "A1", "v"), (2, "", "A1", "v")], "id int, c string, plant string, dist string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = feed.enrich(rows, lookups, "c", "plant", "dist", 1)
+        above = plan_of(found).split("LeftOuter")[0]  # what comes after the last join
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found.columns == ["id", "c", "plant", "dist", "description", "names", "vendor", "d"]
+    assert "Sort [" not in above and "Exchange" not in above and plan_of(found).index("names#") < plan_of(found).index("LeftOuter")
+    assert sorted(((r["id"], r["names"], r["d"]) for r in found.collect()), key=str) == [(1, "1-v, 2-v", 1), (1, "1-v, 2-v", 2), (2, None, None)]
+
+
+def test_more_rows_are_more_files(spark):
+    assert [queries._files_of(spark.range(n), b) for n, b in ((0, 3), (1_500_000, 3), (1_500_001, 3), (4_000_000, 2))] == [3, 3, 6, 8]
