@@ -8,7 +8,8 @@ set is indexed by its e segment subsets, and by the subsets and their one-deleti
 many segments are of which kind is decided per band by cost: rows to index, which deletions raise, against false
 candidates, which few and large segments avoid; the sizes of the bands come from all documents.
 
-Sets that share a key are candidates. Equal sets are one node from the start. A key with many sets is not expanded into
+Sets that share a key are candidates. Keys and their sets are shuffled once, at which a key of one set falls out, and of
+keys that the same sets share one is kept. Equal sets are one node from the start. A key with many sets is not expanded into
 pairs: in `STAR_ROUNDS` rounds each key's sets are compared with one of them only, and what is linked becomes one
 component; in the last round the sets of a key that are still in different components are compared with each other, in
 blocks inside tasks that give out nothing but the pairs left; a key with more than `KEY_SETS` sets is divided into blocks
@@ -141,14 +142,13 @@ def _signature(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return first, textops.sum_by_text(textops.mix(hashes ^ np.uint64(0x89ABCDEF01)), offsets)
 
 
-def _parity(hashes: np.ndarray, offsets: np.ndarray, fine: int = 1) -> tuple[pa.Array, pa.Array]:
+def _parity(hashes: np.ndarray, offsets: np.ndarray, fine: int = 1) -> pa.Array:
     """Parity bins of each set as 64-bit words: `PARITY_BINS`, or for large sets the power of two from 2/3 of its size on
-    (`fine` times as many); and folded to half as many bins (empty for small sets), for partners of the next lower power."""
+    (`fine` times as many). For partners of the next lower power the two halves of the bins are added up."""
     sizes = np.diff(offsets)
     bins = np.maximum(PARITY_BINS, fine << np.ceil(np.log2(np.maximum(sizes, 1) / 1.5)).clip(0).astype(int))
-    words, halves = bins // 64, np.where(bins > PARITY_BINS, bins // 128, 0)
-    ends, half_ends = np.concatenate([[0], np.cumsum(words)]), np.concatenate([[0], np.cumsum(halves)])
-    flat, half_flat = np.zeros(ends[-1], np.uint64), np.zeros(half_ends[-1], np.uint64)
+    ends = np.concatenate([[0], np.cumsum(bins // 64)])
+    flat = np.zeros(ends[-1], np.uint64)
     mixed, owner = textops.mix(hashes), np.repeat(np.arange(len(sizes)), sizes)
     for level in np.unique(bins):
         own = np.flatnonzero(bins == level)
@@ -159,10 +159,7 @@ def _parity(hashes: np.ndarray, offsets: np.ndarray, fine: int = 1) -> tuple[pa.
         odd = (np.bincount(at, minlength=len(own) * level) & 1).astype(np.uint8)
         table = np.packbits(odd).view(np.uint64).reshape(len(own), level // 64)
         flat[(ends[own][:, None] + np.arange(level // 64)).ravel()] = table.ravel()
-        if level > PARITY_BINS:
-            half = level // 128
-            half_flat[(half_ends[own][:, None] + np.arange(half)).ravel()] = (table[:, :half] ^ table[:, half:]).ravel()
-    return _lists(flat, ends), _lists(half_flat, half_ends)
+    return _lists(flat, ends)
 
 
 def _describe(k: int):
@@ -171,8 +168,8 @@ def _describe(k: int):
             for a, b, hashes, offsets in _sets(batch.column(1), k):
                 first, second = _signature(hashes, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), _signed(first), _signed(second), *_parity(hashes, offsets)],
-                    ["doc_id", "n_shingles", "s1", "s2", "parity", "half"],
+                    [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), _signed(first), _signed(second), _parity(hashes, offsets)],
+                    ["doc_id", "n_shingles", "s1", "s2", "parity"],
                 )
 
     return run
@@ -194,6 +191,32 @@ def _index(k: int, bands: Bands, segments: np.ndarray, deletions: np.ndarray) ->
     return run
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, node) whose key stands in another row, too; rows come in order of keys."""
+    keys, nodes, again = np.zeros(0, np.int64), np.zeros(0, np.int64), False  # the last row, and if the one before it has its key
+    for batch in batches:
+        keys, nodes = np.concatenate([keys, batch.column(0).to_numpy()]), np.concatenate([nodes, batch.column(1).to_numpy()])
+        if not len(keys):
+            continue
+        kept, same = np.zeros(len(keys), bool), keys[1:] == keys[:-1]
+        kept[0] = again
+        kept[1:] |= same
+        kept[:-1] |= same
+        yield pa.RecordBatch.from_arrays([pa.array(keys[:-1][kept[:-1]]), pa.array(nodes[:-1][kept[:-1]])], ["key", "node"])
+        keys, nodes, again = keys[-1:], nodes[-1:], bool(kept[-1])
+    if again:
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], ["key", "node"])
+
+
+def _distinct_groups(members: DataFrame) -> DataFrame:
+    """The rows (key, node) of one key of all that have the same nodes; keys are told apart by their number of rows and three
+    sums of 31 bits of their nodes' hashes."""
+    sums = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(i), "node"), 33)).alias(f"sum{i}") for i in range(3)]
+    groups = members.groupBy("key").agg(F.count("*").alias("rows"), *sums)
+    kept = groups.groupBy("rows", "sum0", "sum1", "sum2").agg(F.min("key").alias("key")).select("key")
+    return members.join(kept, "key", "left_semi")
+
+
 def _shingle_sets(k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,8 +232,8 @@ def _sketches(k: int, fine: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, hashes, offsets in _sets(batch.column(1), k):
-                columns = [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), *_parity(hashes, offsets, fine)]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "parity", "half"])
+                columns = [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), _parity(hashes, offsets, fine)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "parity"])
 
     return run
 
@@ -243,25 +266,30 @@ class _Bins:
     def rows(self, at: np.ndarray, words: int) -> np.ndarray:
         return self.tables[words][self.place[at]]
 
+    def folded(self, at: np.ndarray, words: int) -> np.ndarray:
+        """Rows of twice as many words, folded to so many."""
+        table = self.rows(at, 2 * words)
+        return table[:, :words] ^ table[:, words:]
+
 
 def _close_pairs(table: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs under a common key that pass the bounds and lie in different components and, of a divided key, in the right blocks."""
     table = table.combine_chunks()
     key, node, component, n, own, other = (table[c].to_numpy() for c in ("group", "node", "component", "n", "own", "other"))
-    whole, half = _Bins(table["parity"].chunk(0)), _Bins(table["half"].chunk(0))
+    bins = _Bins(table["parity"].chunk(0))
     found: list[np.ndarray] = []
     for a, b in _pairs_of(key):
         kept = (component[a] != component[b]) & (np.maximum(n[a], n[b]) * percent <= np.minimum(n[a], n[b]) * 100)
         kept &= (own[a] != own[b]) | (own[a] == other[a])  # pairs of one block meet where the block meets itself
         a, b = a[kept], b[kept]
         differ = np.zeros(len(a), np.int64)
-        sides = {(False, False): whole.words[a] == whole.words[b], (True, False): half.words[a] == whole.words[b], (False, True): whole.words[a] == half.words[b]}
-        for (fold_a, fold_b), same in sides.items():
-            words = (half if fold_a else whole).words[a]
-            for width in np.unique(words[same]):
-                at = np.flatnonzero(same & (words == width))
-                x = (half if fold_a else whole).rows(a[at], int(width)) ^ (half if fold_b else whole).rows(b[at], int(width))
-                differ[at] = np.bitwise_count(x).sum(1, dtype=np.int64)
+        least = np.minimum(bins.words[a], bins.words[b])
+        sides = [(bins.rows, bins.rows, bins.words[a] == bins.words[b])]
+        sides += [(bins.folded, bins.rows, bins.words[a] == 2 * bins.words[b]), (bins.rows, bins.folded, 2 * bins.words[a] == bins.words[b])]
+        for of_a, of_b, fits in sides:
+            for width in np.unique(least[fits]):
+                at = np.flatnonzero(fits & (least == width))
+                differ[at] = np.bitwise_count(of_a(a[at], int(width)) ^ of_b(b[at], int(width))).sum(1, dtype=np.int64)
         good = differ * (100 + percent) <= (n[a] + n[b]) * (100 - percent)
         if good.any():
             found.append(np.sort(np.stack([node[a[good]], node[b[good]]], 1), axis=1))
@@ -293,19 +321,21 @@ def _compared(percent: int) -> Callable:
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
-    """Exact bound: sets that cannot link are out. Columns n, parity and half of both sides have these prefixes."""
+    """Exact bound: sets that cannot link are out. Columns n and parity of both sides have these prefixes."""
     sizes = F.col(f"{a}n") + F.col(f"{b}n")
-    one, other, one_half, other_half = (F.col(c) for c in (f"{a}parity", f"{b}parity", f"{a}half", f"{b}half"))
+    one, other = F.col(f"{a}parity"), F.col(f"{b}parity")
     few = PARITY_BINS // 64
     small = F.bit_count(one[0].bitwiseXOR(other[0]))
     for i in range(1, few):
         small = small + F.bit_count(one[i].bitwiseXOR(other[i]))
     far = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, n: t + n)
+    half = lambda x: (F.size(x) / 2).cast("int")
+    folded = lambda x: F.zip_with(F.slice(x, 1, half(x)), F.slice(x, half(x) + 1, half(x)), lambda p, q: p.bitwiseXOR(q))
     differ = (
         F.when((F.size(one) == few) & (F.size(other) == few), small)
         .when(F.size(one) == F.size(other), far(one, other))
-        .when(F.size(one_half) == F.size(other), far(one_half, other))
-        .when(F.size(one) == F.size(other_half), far(one, other_half))
+        .when(F.size(one) == F.size(other) * 2, far(folded(one), other))
+        .when(F.size(one) * 2 == F.size(other), far(one, folded(other)))
         .otherwise(F.lit(0))
     )
     near = F.greatest(f"{a}n", f"{b}n") * percent <= F.least(f"{a}n", f"{b}n") * 100
@@ -338,18 +368,19 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def _components(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    sets = stage(docs.mapInArrow(_describe(k), "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, parity array<bigint>, half array<bigint>"), "jaccard-sets")
+    sets = stage(docs.mapInArrow(_describe(k), "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, parity array<bigint>"), "jaccard-sets")
     same = ["s1", "s2", "n_shingles"]
     nodes = stage(sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("node")), "jaccard-nodes")
-    placed = stage(sets.join(nodes, same, "left").select("doc_id", F.col("n_shingles").alias("n"), "parity", "half", "node"), "jaccard-placed")
+    placed = stage(sets.join(nodes, same, "left").select("doc_id", F.col("n_shingles").alias("n"), "parity", "node"), "jaccard-placed")
     # documents whose text stands for its set are indexed, copies are not
     stands = F.max(F.col("doc_id") == F.col("node"))
     copies = stage(placed.filter("node IS NOT NULL").groupBy("doc_id").agg(stands.alias("stands")).filter("NOT stands").select("doc_id"), "jaccard-copies")
     chosen = docs.filter("doc_id IS NOT NULL").join(_small(copies, BROADCAST_IDS), "doc_id", "left_anti").select("doc_id", "text")
     keys = chosen.mapInArrow(_index(k, *_plan(sets, percent)), "node bigint, keys array<bigint>").select("node", F.explode("keys").alias("key"))
-    shared = stage(keys.groupBy("key").count().filter("count > 1").select("key"), "jaccard-shared")
-    members = stage(keys.join(_small(shared, BROADCAST_IDS), "key"), "jaccard-keys")
-    info = placed.filter("doc_id = node").select("node", "n", "parity", "half")
+    sorted_keys = keys.select("key", "node").repartition("key").sortWithinPartitions("key")
+    shared = stage(sorted_keys.mapInArrow(_repeated, "key bigint, node bigint"), "jaccard-shared")
+    members = stage(_distinct_groups(shared), "jaccard-keys")
+    info = placed.filter("doc_id = node").select("node", "n", "parity")
     side = lambda c: info.select(*[F.col(x).alias(c if x == "node" else f"{c}_{x}") for x in info.columns])
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -363,10 +394,10 @@ def _components(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -
         return stage(both.filter(linked).select("a", "b"), "jaccard-links")
 
     def sketched(named: DataFrame, fine: int) -> DataFrame:
-        """(node, n, parity, half) of the sets of some documents, one row per set."""
+        """(node, n, parity) of the sets of some documents, one row per set."""
         named = stage(named.distinct(), "jaccard-named")
         wanted = docs.join(_small(named, BROADCAST_IDS), "doc_id", "left_semi").select("doc_id", "text")
-        found = wanted.mapInArrow(_sketches(k, fine), "node bigint, n bigint, parity array<bigint>, half array<bigint>")
+        found = wanted.mapInArrow(_sketches(k, fine), "node bigint, n bigint, parity array<bigint>")
         return stage(found, "jaccard-fine")
 
     links, tried = None, None

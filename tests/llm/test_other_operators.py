@@ -10,6 +10,7 @@ import zlib
 import compare
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -408,3 +409,47 @@ def test_items_by_size_class():
     items = decontaminate.Items([np.arange(1, 9, dtype=np.uint64) << np.uint64(58), np.array([5], np.uint64)], 0.8)
     assert items.whole == [1] or items.whole == [0, 1]
     assert jaccard_join.difference(19, 90) == 1
+
+
+def test_keys_of_one_set_fall_out_at_any_batch_size():
+    rng = np.random.default_rng(5)
+    keys = np.sort(rng.integers(0, 60, 90)) - 30
+    nodes = np.arange(90)
+    table = pa.table({"key": keys, "node": nodes})
+    wanted = [(k, n) for k, n in zip(keys.tolist(), nodes.tolist(), strict=True) if (keys == k).sum() > 1]
+    for size in (1, 2, 7, 90):
+        found = pa.Table.from_batches(jaccard_join._repeated(iter(table.to_batches(max_chunksize=size))), table.schema)
+        assert list(zip(*found.to_pydict().values(), strict=True)) == wanted
+    assert not list(jaccard_join._repeated(iter([])))
+
+
+def test_of_keys_with_the_same_sets_one_is_kept(spark):
+    groups = {1: [10, 20], 2: [20, 10], 3: [10, 20, 30], 4: [10, 10, 20], 5: [30, 20, 10], 6: [30, 40]}
+    rows = spark.createDataFrame([(k, n) for k, own in groups.items() for n in own], "key bigint, node bigint")
+    kept = jaccard_join._distinct_groups(rows).collect()
+    assert sorted((r["key"], r["node"]) for r in kept) == sorted((k, n) for k in (1, 3, 4, 6) for n in groups[k])
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_similar_sets_with_different_numbers_of_bins(spark, monkeypatch, rounds):
+    rng = random.Random(11)
+    texts = []
+    for size in (192, 200, 384, 390, 780):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(size + 2)]
+        texts += [words, words[: size * 93 // 100], words[: size * 85 // 100], [*words, *(f"n{rng.randrange(10**6)}" for _ in range(size // 15))]]
+    monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", rounds)
+    got = jaccard_join.jaccard_components(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")).collect()
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in texts]
+    component = list(range(len(sets)))
+    for _ in sets:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 90 * len(a | b):
+                    component[i] = component[j] = min(component[i], component[j])
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(component))
+
+
+def test_bins_are_stored_and_sent_once():
+    table = pa.table({"doc_id": [1], "text": [" ".join(f"w{i}" for i in range(900))]})
+    [described] = jaccard_join._describe(3)(iter(table.to_batches()))
+    assert described.schema.names == ["doc_id", "n_shingles", "s1", "s2", "parity"]
