@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from refsync.config import TableSpec
-from refsync.operators import sync
-from refsync.plans import jobs
+from refsync.functions.keys import key_columns
+from refsync.operators import clean, sync
+from refsync.plans import jobs, sample_tables
 from refsync.sources import audit_store, snapshots
 
 LAYOUT = snapshots.Layout(("k",), 50)
@@ -162,3 +164,18 @@ def test_restore_undoes_the_files_of_later_batches(spark, tmp_path):
     assert sorted(r[SPEC.item] for r in snapshots.read_snapshot(spark, table).collect()) == ["a", "b", "c"]
     snapshots.restore_snapshot(spark, table, 1)
     assert applied() == []
+
+
+def test_buckets_are_those_of_the_normalised_key_and_their_code_is_compiled(spark):
+    """A method of generated code with more than 8,000 bytes is never compiled by the JVM."""
+    spec = TableSpec()
+    rows = clean.enforce_schema(sample_tables.contract_rows(spark, "/root/testdata/sf0.001"), spec.types)
+    padded = rows.withColumn(spec.keys[0], F.concat(F.lit("\t "), f"`{spec.keys[0]}`", F.lit("　")))
+    padded = padded.withColumn(spec.keys[1], F.when(F.rand(3) < 0.5, F.col(f"`{spec.keys[1]}`"))).withColumn(spec.keys[2], F.lit(7))
+    layout = snapshots.Layout(spec.keys, 32)
+    parts = [c.cast("string") for c in key_columns(padded, spec.keys)]
+    was = F.pmod(F.xxhash64(*parts), F.lit(32)).cast("int")
+    assert padded.select(snapshots.bucket_column(padded, layout).alias("now"), was.alias("was")).filter("now <> was").count() == 0
+    dealt = jobs._exclude(rows, spec).withColumn("bucket", snapshots.bucket_column(rows, layout))
+    code = spark._jvm.PythonSQLUtils.explainString(dealt._jdf.queryExecution(), "codegen")
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:\s*(\d+)", code)) < 8000
