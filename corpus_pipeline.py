@@ -1,7 +1,8 @@
 """The corpus pipeline: stages over `documents`, each written and read again by the next.
 
 Each stage works on what its predecessor kept and returns the columns it got; the last one adds the shards. Empty tables
-pass through all stages, extra columns are carried along.
+pass through all stages, extra columns are carried along. Stages that send texts to Python bound the size of the batches in
+their session (`bound_batches`).
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from refsync.llm import decontaminate, jaccard_join, language_id, mixing, sharding
+from refsync.session import bound_batches
 from refsync.sources.storage import stage
 
 #: A document whose largest language has a smaller share is rejected, as is one without letters.
@@ -27,6 +29,7 @@ def _own_names(docs: DataFrame, *used: str) -> dict[str, str]:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: texts without a letter and texts of no main language go."""
+    bound_batches(spark)
     model = language_id.train_on_folds(docs)
     own = _own_names(docs, "doc_id", "text")
     judged = language_id.predict(docs.withColumnsRenamed(own), model)
@@ -40,6 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Texts that share an id are documents of their own: they are told apart by a 64-bit hash of id and text, and of one
     group the smallest hash of the smallest id stays. Of rows with the same id and text one stays, the first by the other
     columns. Rows without an id stay."""
+    bound_batches(spark)
     similar = lambda rows: jaccard_join.jaccard_components(rows, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
     if docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
         found = similar(docs)
@@ -62,6 +66,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of `benchmark`."""
+    bound_batches(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

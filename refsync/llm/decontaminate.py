@@ -107,7 +107,7 @@ def minima(values: np.ndarray, shift: int) -> np.ndarray:
 
 def _sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     data, offsets = textops.text_buffers(texts)
-    for first, last in textops.slices(offsets):
+    for first, last in textops.slices(offsets, textops.SMALL_SLICE_BYTES):
         found = textops.words(data, offsets[first : last + 1])
         hashes, own = textops.shingles(found.hashes, found.offsets, k)
         for a, b in zip(own[:-1].tolist(), own[1:].tolist(), strict=True):

@@ -129,7 +129,7 @@ def _keys(hashes: np.ndarray, offsets: np.ndarray, schemes: np.ndarray, segments
 def _sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row, sorted distinct shingles, offsets) by slices of a text column."""
     data, offsets = textops.text_buffers(texts)
-    for first, last in textops.slices(offsets):
+    for first, last in textops.slices(offsets, textops.SMALL_SLICE_BYTES):
         for a in range(first, last, SLICE_TEXTS):
             b = min(last, a + SLICE_TEXTS)
             found = textops.words(data, offsets[a : b + 1])

@@ -31,7 +31,7 @@ SMOOTHING = 0.05
 PENALTY = 4.0
 STEPS = 25
 UNKNOWN = "und"
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -199,20 +199,22 @@ def train(labelled: DataFrame) -> Model:
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """`docs`, or its columns `keep`, with lang_pred and score (columns of these names are replaced)."""
     names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    source = docs.select(*names, docs[text].alias("__text"))
+    # the text goes to the tasks once, also where it is one of the columns to keep
+    source = docs.select(*names) if text in names else docs.select(*names, docs[text].alias("__text"))
+    at = names.index(text) if text in names else len(names)
     model_of = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], []
-            for _, texts in _text_slices(batch.column(len(names))):
+            for _, texts in _text_slices(batch.column(at)):
                 lang, score = model_of.value.predict(texts)
                 langs += lang
                 scores.append(score)
-            columns = [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores]))]
+            columns = [*batch.columns[: len(names)], pa.array(langs, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores]))]
             yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__text")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[: len(names)])
     return source.mapInArrow(run, f"{fields}, lang_pred string, score double")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import tracemalloc
 import zlib
 
 import compare
@@ -15,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from refsync.llm import components, decontaminate, embedding_dedup, html_text, jaccard_join, mixing, queries, sharding, url_filter
+from refsync.llm import components, decontaminate, embedding_dedup, html_text, jaccard_join, language_id, mixing, queries, sharding, url_filter
 from refsync.llm.hnsw import Graph
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -453,3 +454,52 @@ def test_bins_are_stored_and_sent_once():
     table = pa.table({"doc_id": [1], "text": [" ".join(f"w{i}" for i in range(900))]})
     [described] = jaccard_join._describe(3)(iter(table.to_batches()))
     assert described.schema.names == ["doc_id", "n_shingles", "s1", "s2", "parity"]
+
+
+def test_columns_of_texts_take_the_memory_of_a_slice():
+    rng = random.Random(21)
+    texts = pa.array([" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(400)) for _ in range(800)])
+    whole = texts.nbytes
+    sizes = lambda: [sum(len(own) for own in decontaminate._sets(texts, 5)), sum(len(own) for *_, own, _ in jaccard_join._sets(texts, 5))]
+    sizes(), language_id.grams(["a"])  # tables that stay
+    for work in (sizes, lambda: [language_id.grams(own)[0].size for _, own in language_id._text_slices(texts)]):
+        tracemalloc.start()
+        found = work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert all(found) and whole > 2 << 20 and peak < 30 << 20
+    assert sizes() == [800 * 396] * 2
+
+
+def test_pipeline_sends_texts_in_bounded_batches(spark, monkeypatch, tmp_path):
+    def rows_and_bytes(docs, *_):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+        return docs.mapInArrow(run, "n bigint, size bigint")
+
+    monkeypatch.setattr(decontaminate, "drop_contaminated", rows_and_bytes)
+    spark.createDataFrame([(1, "a")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.range(0, 900, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2000).alias("text"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for held, most in (("64m", 4 << 20), ("1m", 1 << 20)):  # a smaller bound of the session stays
+            spark.conf.set(key, held)
+            found = corpus_pipeline.benchmarks(spark, docs, str(tmp_path)).collect()
+            assert sum(r["n"] for r in found) == 900 and max(r["size"] for r in found) < most + 20_000
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_language_gets_each_text_once(spark, capsys):
+    model = language_id.Model(["de", "en"], np.random.default_rng(3).integers(0, 50, (2, language_id.BUCKETS)).astype(float))
+    docs = spark.createDataFrame([(1, "one text", "x", "kept"), (2, None, "y", "lang"), (3, "zwei Texte", None, None)], "doc_id bigint, text string, lang_pred string, other string")
+    whole, alone = language_id.predict(docs, model), language_id.predict(docs, model, keep=["doc_id"])
+    assert whole.columns == ["doc_id", "text", "other", "lang_pred", "score"] and alone.columns == ["doc_id", "lang_pred", "score"]
+    assert sorted(whole.select(alone.columns).collect()) == sorted(alone.collect())
+    assert [r["text"] for r in whole.orderBy("doc_id").collect()] == ["one text", None, "zwei Texte"]
+    capsys.readouterr()
+    whole.explain(True)
+    assert "__text" not in capsys.readouterr().out
