@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from refsync.llm import decontaminate, jaccard_join, language_id, substring_dedup, textops, token_counts
+from refsync.llm import decontaminate, jaccard_join, language_id, passage_pairs, substring_dedup, textops, token_counts
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -300,6 +300,96 @@ def test_passages_of_the_sample_are_found(spark):
     assert missing == 0
 
 
+def has_passage(a, b, least, identity):
+    """Whether some stretches of `least` words or more that begin and end equal have that identity, by edit distance of all."""
+    for i in range(len(a)):
+        for j in (j for j in range(len(b)) if a[i] == b[j]):
+            row = list(range(len(b) - j + 1))
+            for x in range(1, len(a) - i + 1):
+                diagonal, row[0] = row[0], x
+                for y in range(1, len(b) - j + 1):
+                    diagonal, row[y] = row[y], min(diagonal + (a[i + x - 1] != b[j + y - 1]), row[y] + 1, row[y - 1] + 1)
+                    if x >= least and y >= least and a[i + x - 1] == b[j + y - 1] and max(x, y) - row[y] >= identity * max(x, y) - 1e-9:
+                        return True
+    return False
+
+
+def changed(rng, base, rate):
+    out = []
+    for w in base:
+        kind = rng.random() / rate
+        out += [w] if kind > 1 else [[], [rng.randrange(10**6)], [rng.randrange(10**6)], [w, rng.randrange(10**6)]][int(kind * 4) % 4]
+    return out
+
+
+def test_best_passages_against_all_stretches():
+    rng = random.Random(5)
+    fresh = lambda n: [rng.randrange(10**6) for _ in range(n)]
+    seen = set()
+    for _ in range(120):
+        base = fresh(14)
+        a, b = fresh(rng.randrange(4)) + base + fresh(rng.randrange(4)), fresh(rng.randrange(4)) + changed(rng, base, 0.25) + fresh(rng.randrange(4))
+        places = [(i, j) for i in range(len(a) - 2) for j in range(len(b) - 2) if a[i : i + 3] == b[j : j + 3]]
+        own, others = np.array(a, np.int32), np.array(b, np.int32)
+        found = passage_pairs.best_passages([own] * len(places), [others] * len(places), [p for p, _ in places], [q for _, q in places], 10, 0.8) if places else []
+        want = has_passage(a, b, 10, 0.8)
+        assert any(found) == want
+        seen.add(want)
+    assert seen == {True, False}
+
+
+def test_prefixes_of_two_windows_meet():
+    """Windows that share `shared` values have one of them, the first in the order, among their prefixes."""
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        width, shared = 12, int(rng.integers(1, 6))
+        rank = rng.integers(0, 30, 40)
+        kept = set(passage_pairs.prefixes(rank.astype(np.uint64), width, shared).tolist())
+        for a in range(len(rank) - width + 1):
+            common = rng.choice(width, shared, replace=False) + a
+            first = min(rank[common])
+            assert all(i in kept for i in range(a, a + width) if rank[i] == first)
+    assert passage_pairs.fewest(50, 0.8) == 12 and passage_pairs.reach(50, 0.8) == 167
+
+
+def test_changed_passages_lose_no_pair(spark):
+    rng = random.Random(21)
+    fresh = lambda n: invented(rng, n, 10**6)
+    docs, wanted = [], set()
+
+    def pair(passage, other, least=True):
+        doc = 1000 + 10 * len(docs)
+        docs.extend([(doc, f"{fresh(20)} {passage} {fresh(20)}"), (doc + 1, f"{fresh(35)} {other} {fresh(5)}")])
+        wanted.update([(doc + 1, doc)] if least else [])
+
+    for n in (50, 55, 60, 90, 150):
+        for step in (5, 6, 8, 11) if n > 50 else (5, 6, 8):
+            words = fresh(n).split(" ")
+            pair(" ".join(words), " ".join(w if i % step != step // 2 else f"y{i}" for i, w in enumerate(words)))
+            words = fresh(n).split(" ")
+            inserted = " ".join(w if i % step != step // 2 or step == 5 else f"{w} y{i}" for i, w in enumerate(words))
+            pair(" ".join(words), inserted)
+    for n in (60, 75):  # all changes in the middle
+        words = fresh(n).split(" ")
+        pair(" ".join(words), " ".join(w if not n * 2 // 5 <= i < n * 3 // 5 else f"y{i}" for i, w in enumerate(words)))
+    words = fresh(60).split(" ")
+    pair(" ".join(words), " ".join(w if i % 4 else f"y{i}" for i, w in enumerate(words)), least=False)
+    # parts of these passages occurred before, in shorter pieces
+    words = fresh(80).split(" ")
+    docs += [(1 + i, f"{fresh(9)} {' '.join(words[i * 16 : i * 16 + 16])} {fresh(9)}") for i in range(5)]
+    pair(" ".join(words), " ".join(w if i % 9 else f"y{i}" for i, w in enumerate(words)))
+    # two changed copies of a changed passage: all three pairs
+    words = fresh(100).split(" ")
+    docs += [(500 + j, " ".join(w if (i + 3 * j) % 10 else f"z{i}-{j}" for i, w in enumerate(words))) for j in range(3)]
+    wanted |= {(501, 500), (502, 500), (502, 501)}
+    rows = substring_dedup.repeated_passages(spark.createDataFrame([*docs, (7, None), (None, docs[0][1])], "doc_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in rows} == wanted
+    texts = {d: words_of(t) for d, t in docs}
+    for r in rows:
+        assert r["identity"] >= 0.8 and min(r["end_word"] - r["start_word"], r["other_end"] - r["other_start"]) >= 50
+        assert r["end_word"] <= len(texts[r["doc_id"]]) and r["other_end"] <= len(texts[r["other_id"]])
+
+
 def test_no_import_from_elsewhere():
     import pathlib
 
