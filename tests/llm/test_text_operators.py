@@ -390,6 +390,35 @@ def test_changed_passages_lose_no_pair(spark):
         assert r["end_word"] <= len(texts[r["doc_id"]]) and r["other_end"] <= len(texts[r["other_id"]])
 
 
+def test_all_passages_of_a_pair_are_reported(spark):
+    """Also those of pairs that have a row of another passage, or exact copies of another passage of a third document."""
+    rng = random.Random(33)
+    fresh = lambda n: invented(rng, n, 10**6)
+    edited = lambda text: " ".join(w if i % 5 != 4 else f"y{i}" for i, w in enumerate(text.split(" ")))
+    pieces = lambda text: [" ".join(text.split(" ")[i : i + 45]) for i in (0, 10, 20, 30, 35)]
+    same, near, far, again, whole = fresh(70), fresh(74), fresh(94), fresh(80), fresh(80)
+    docs = [(1000, f"{fresh(20)} {same} {fresh(30)} {near} {fresh(400)} {far} {fresh(9)}")]
+    docs += [(1001, f"{fresh(3)} {same} {fresh(25)} {edited(near)} {fresh(380)} {edited(far)} {fresh(40)}")]
+    # parts of these passages occurred before, each in a shorter piece
+    docs += [(i, f"{fresh(9)} {piece} {fresh(9)}") for i, piece in enumerate([*pieces(again), *pieces(whole)])]
+    docs += [(50, f"{fresh(30)} {same}")] + [(d, f"{fresh(40)} {same} {fresh(300)} {again} {fresh(30)}") for d in (2000, 2001)]
+    docs += [(3000 + i, whole) for i in range(3)]
+    rows = substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    texts = {d: words_of(t) for d, t in docs}
+
+    def reported(doc, other, passage):
+        own = words_of(passage)
+        at = next(i for i in range(len(texts[doc])) if texts[doc][i : i + 3] == own[:3])
+        held = {i for r in rows if (r["doc_id"], r["other_id"]) == (doc, other) for i in range(r["start_word"], r["end_word"])}
+        return set(range(at + 6, at + len(own) - 6)) <= held
+
+    assert reported(1001, 1000, edited(near)) and reported(1001, 1000, edited(far)) and reported(1001, 50, same) and reported(1000, 50, same)
+    assert reported(2000, 50, same) and reported(2001, 50, same) and reported(2001, 2000, again)
+    assert {(r["doc_id"], r["other_id"]) for r in rows if r["doc_id"] >= 3000 and r["n_words"] == 80} == {(3001, 3000), (3002, 3000)}
+    assert not [r for r in rows if (r["doc_id"], r["other_id"]) == (2001, 2000) and r["end_word"] <= 200]  # the copy of 50 is enough
+    assert len({tuple(r) for r in rows}) == len(rows)
+
+
 def test_no_import_from_elsewhere():
     import pathlib
 
