@@ -1,4 +1,5 @@
 import os
+import time
 from collections import Counter
 from datetime import date, datetime
 
@@ -257,3 +258,37 @@ def test_stage_keeps_rows_and_prunes_columns(spark):
     plan = df.select("id")._jdf.queryExecution().executedPlan().toString()
     assert "wide" not in plan
     assert sync.latest_wins(df, ["wide"], "id").first()["id"] == 9
+
+
+def _shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {os.path.join(at, name) for folder in dirs for at, _, names in os.walk(folder) for name in names if name.startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark, root):
+    before, held = _shuffle_files(spark), spark.conf.get(storage.CLEANUP, "false")
+    rows = spark.range(50_000).withColumn("part", F.col("id") % 3).repartition(4, "id")
+    staged = storage.stage(rows, "test")
+    snapshots.write_data(rows, f"{root}/table")
+    audit_store.write_audit({"one": rows.groupBy("part").count(), "two": rows.distinct()}, f"{root}/audit", "run")
+    outputs.write_buckets(rows, f"{root}/out", "all", "part")
+    for _ in range(50):  # they are deleted by a thread of their own
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(storage.CLEANUP, "false") == held
+    assert staged.count() == rows.count() == 50_000
+
+
+def test_blocks_of_staged_tables(spark):
+    rows = spark.range(3)
+    with storage.discard_staged(spark):
+        with storage.discard_staged(spark):
+            inner, outer = storage.stage(rows, "inner"), storage.stage(rows, "outer", outer=True)
+        assert not storage.exists(spark, inner.inputFiles()[0].rsplit("/", 1)[0])
+        assert outer.count() == 3
+    assert not storage.exists(spark, outer.inputFiles()[0].rsplit("/", 1)[0])
+    with storage.discard_staged(spark):
+        alone = storage.stage(rows, "alone", outer=True)
+    assert alone.count() == 3
