@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from refsync.config import SyncSettings, TableSpec
 from refsync.operators import clean
-from refsync.plans import jobs
-from refsync.sources import audit_store, files, snapshots
+from refsync.plans import jobs, sample_tables
+from refsync.sources import audit_store, files, snapshots, storage
 from refsync.streaming import sync_stream
 
 SPEC = TableSpec()
@@ -319,3 +319,20 @@ def test_all_phases(spark, root):
     assert {r["Bucket"]: r["count"] for r in exported.groupBy("Bucket").count().collect()} == {"update": 3, "create": 1}
     assert spark.read.parquet(f"{result['exported']}/Bucket=create").count() == 1
     assert jobs.export(spark, f"{root}/nothing", f"{root}/x") is None
+
+
+def test_full_files_are_parsed_once(spark, root):
+    """All tables of a full refresh come from one staging of the typed rows, which is gone afterwards."""
+    parsed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            parsed.add(batch.num_rows)
+            yield batch
+
+    rows = sample_tables.contract_rows(spark, "/root/testdata/sf0.001").limit(500).coalesce(1)
+    counted_rows = rows.mapInArrow(counted, rows.schema)
+    result = jobs.full_refresh(spark, f"{root}/table", f"{root}/audit", counted_rows, buckets=4)
+    assert parsed.value == 500
+    assert {"rows_by_date", "duplicate_keys", "issues"} <= set(result.tables)
+    assert not [n for n in storage.file_names(spark, f"{storage.work_folder(spark)}/refsync") if n.startswith("full-rows")]

@@ -266,7 +266,7 @@ def _shuffle_files(spark):
 
 
 def test_written_tables_leave_no_shuffle_files(spark, root):
-    before, held = _shuffle_files(spark), spark.conf.get(storage.CLEANUP, "false")
+    before, held = _shuffle_files(spark), {k: spark.conf.get(k) for k in storage.WRITE_SETTINGS}
     rows = spark.range(50_000).withColumn("part", F.col("id") % 3).repartition(4, "id")
     staged = storage.stage(rows, "test")
     snapshots.write_data(rows, f"{root}/table")
@@ -277,7 +277,7 @@ def test_written_tables_leave_no_shuffle_files(spark, root):
             break
         time.sleep(0.2)
     assert not left
-    assert spark.conf.get(storage.CLEANUP, "false") == held
+    assert {k: spark.conf.get(k) for k in storage.WRITE_SETTINGS} == held != storage.WRITE_SETTINGS
     assert staged.count() == rows.count() == 50_000
 
 
